@@ -31,31 +31,29 @@ def two_class_chi2_p(statistic: Column) -> Column:
     return F.lit(2.0) * (F.lit(1.0) - normal_cdf(F.sqrt(statistic)))
 
 
-def even_dof_chi2_p(statistic: Column, dof: int) -> Column:
-    """Upper tail for an even number of degrees of freedom: a finite Poisson sum."""
-    if dof % 2:
-        raise ValueError("dof must be even")
-    half = statistic / 2.0
-    term, total = F.lit(1.0), F.lit(1.0)
-    for i in range(1, dof // 2):
-        term = term * half / float(i)
-        total = total + term
-    return F.exp(-half) * total
-
+def chi2_p(statistic: Column, dof: Column) -> Column:
+    """Upper tail for ``dof`` degrees of freedom.
 
-def chi2_p(statistic: Column, dof: int) -> Column:
-    """Upper tail for any degrees of freedom: the two tails above joined by the step-by-two recurrence."""
-    if dof < 1:
-        raise ValueError("dof must be at least 1")
-    if dof % 2 == 0:
-        return even_dof_chi2_p(statistic, dof)
-    tail = two_class_chi2_p(statistic)
+    Starts from the closed form for one or two degrees and adds the terms of the step-by-two recurrence.
+    """
     half = statistic / 2.0
-    term = F.sqrt(half) * F.exp(-half) / math.gamma(1.5)
-    for step in range(1, dof // 2 + 1):
-        tail = tail + term
-        term = term * half / (step + 0.5)
-    return tail
+    odd = dof % 2 == 1
+    first_tail = F.when(odd, two_class_chi2_p(statistic)).otherwise(F.exp(-half))
+    first_term = F.when(odd, F.sqrt(half) * F.exp(-half) / math.gamma(1.5)).otherwise(half * F.exp(-half))
+    shift = F.when(odd, F.lit(0.5)).otherwise(F.lit(1.0))
+    start = F.struct(first_tail.alias("tail"), first_term.alias("term"))
+    steps = F.when(dof > 2, F.sequence(F.lit(1), F.floor((dof - 1) / 2).cast("int"))).otherwise(
+        F.array().cast("array<int>")
+    )
+    return F.aggregate(
+        steps,
+        start,
+        lambda acc, i: F.struct(
+            (acc["tail"] + acc["term"]).alias("tail"),
+            (acc["term"] * half / (i.cast("double") + shift)).alias("term"),
+        ),
+        lambda acc: acc["tail"],
+    )
 
 
 def kolmogorov_p(distance: Column, n: Column, m: Column, terms: int = 100) -> Column:

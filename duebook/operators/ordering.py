@@ -69,7 +69,8 @@ def running_totals(
 ) -> DataFrame:
     """Adds inclusive running sums ``measures = {new column: summed column}`` in ``order`` within ``by``.
 
-    ``slot`` columns must not decrease along ``order``. The totals window holds one row per ``by`` and slot.
+    ``slot`` columns must not decrease along ``order``, and no key may be NULL. The totals window holds one row per
+    ``by`` and slot.
     """
     by, slot = list(by), list(slot)
     inside = Window.partitionBy(*by, *slot).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -78,18 +79,17 @@ def running_totals(
         before = Window.partitionBy(*by).orderBy(*slot).rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(*by, *slot).agg(*[F.sum(src).alias(f"__{new}") for new, src in measures.items()])
     offsets = totals.select(
-        *[F.col(c).alias(f"__k_{c}") for c in by + slot],
+        *by,
+        *slot,
         *[F.coalesce(F.sum(f"__{new}").over(before), F.lit(0)).alias(f"__{new}_before") for new in measures],
     )
-    match = F.lit(True)
-    for c in by + slot:
-        match = match & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
-    joined = rows.join(offsets, match, "left")
+    # the join leaves the rows partitioned as the window below needs them
+    joined = rows.join(offsets, [*by, *slot])
     kept = [c for c in rows.columns if c not in measures]
     return joined.select(
         *kept,
         *[
-            (F.sum(src).over(inside) + F.coalesce(F.col(f"__{new}_before"), F.lit(0))).alias(new)
+            (F.sum(src).over(inside) + F.col(f"__{new}_before")).alias(new)
             for new, src in measures.items()
         ],
     )
