@@ -1,6 +1,6 @@
 """Named queries over the source tables."""
 
-from . import cash, evaluation, foundation, indicators, monitoring  # noqa: F401
+from . import cash, evaluation, foundation, indicators, monitoring, papers  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
