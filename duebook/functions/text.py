@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that separate words (Unicode white space), as a regular-expression class.
-WHITE_SPACE = "[\t-\r\x1c-\x20\x85\xa0  -     　]+"
+# The characters that separate words. Unicode white space, as one predefined class of the regular
+# expression engine (several times faster here than a class that lists the same characters).
+WORD_BREAK = r"(?U)\s+"
+# The same characters listed, for engines without that class.
+WHITE_SPACE = "[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 # What is taken out of a page, in order.
 PAGE_RULES: tuple[tuple[str, str], ...] = (
@@ -28,7 +31,7 @@ PAGE_RULES: tuple[tuple[str, str], ...] = (
 
 def words(text: Column) -> Column:
     """The words of the whole text, in order; an empty array for NULL or blank text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE_SPACE, -1), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_BREAK, -1), "")
 
 
 def word_windows(tokens: Column, size: int, overlap: int) -> Column:

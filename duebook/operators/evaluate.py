@@ -136,26 +136,30 @@ def ks(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def threshold_sweep(scored: DataFrame) -> DataFrame:
-    """F1 at each threshold and whether it is the best (lowest threshold on ties); sums run over score counts."""
-    counts = score_counts(scored)
-    hundredths = range(SWEEP_FROM, SWEEP_TO + 1)
-    sums = [F.sum("pos").alias("all_pos")]
-    for h in hundredths:
-        at_least = F.col("score") >= h / 100
-        sums.append(F.coalesce(F.sum(F.when(at_least, F.col("pos"))), F.lit(0)).alias(f"tp{h}"))
-        sums.append(F.coalesce(F.sum(F.when(at_least, F.col("neg"))), F.lit(0)).alias(f"fp{h}"))
-    points = [
-        F.struct(
-            F.lit(h / 100).alias("threshold"),
-            F.round(f1_of(F.col(f"tp{h}"), F.col(f"fp{h}"), F.col("all_pos") - F.col(f"tp{h}")), 6).alias("f1"),
-        )
-        for h in hundredths
-    ]
-    best = F.array_max(F.transform("points", lambda p: F.struct(p["f1"], -p["threshold"])))
-    one_row = counts.agg(*sums).select(F.array(*points).alias("points")).withColumn("best", best)
-    return one_row.select(F.inline("points"), "best").select(
-        "threshold", "f1", (F.col("threshold") == -F.col("best.col2")).cast("int").alias("is_best")
+    """F1 at each threshold and whether it is the best (lowest threshold on ties).
+
+    Rows are counted per hundredth of the score; the sums over higher hundredths run over those few rows.
+    """
+    millionths = F.round(F.col("score") * 1_000_000).cast("int")
+    hundredth = F.least(F.floor(millionths / 10_000).cast("int"), F.lit(SWEEP_TO))
+    y = F.col("label").cast("bigint")
+    counted = scored.groupBy(F.greatest(hundredth, F.lit(SWEEP_FROM - 1)).alias("h")).agg(
+        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")
+    )
+    zero = F.lit(0).cast("bigint")
+    empty = scored.sparkSession.range(SWEEP_FROM, SWEEP_TO + 1).select(
+        F.col("id").cast("int").alias("h"), zero.alias("pos"), zero.alias("neg")
+    )
+    bins = counted.unionByName(empty).groupBy("h").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    downwards = Window.orderBy(F.desc("h")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tp, fp = F.sum("pos").over(downwards), F.sum("neg").over(downwards)
+    sums = bins.select("h", tp.alias("tp"), fp.alias("fp"), F.sum("pos").over(Window.partitionBy()).alias("all_pos"))
+    points = sums.filter(F.col("h") >= SWEEP_FROM).select(
+        (F.col("h") / 100.0).alias("threshold"),
+        F.round(f1_of(F.col("tp"), F.col("fp"), F.col("all_pos") - F.col("tp")), 6).alias("f1"),
     )
+    place = F.row_number().over(Window.orderBy(F.desc("f1"), "threshold"))
+    return points.select("threshold", "f1", (place == 1).cast("int").alias("is_best"))
 
 
 def decile_edges(scored: DataFrame) -> list[float]:

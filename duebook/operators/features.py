@@ -17,6 +17,8 @@ TRAILING_DAYS = (90, 180, 365)
 RECENCY_SCORES = ((30, 5), (60, 4), (90, 3), (180, 2))
 CATEGORIES = ((4, "Premium"), (3, "Regular"))
 LOWEST_CATEGORY = "At risk"
+#: Freshness of a customer without invoices: below that of any date.
+NEVER = -1e9
 
 NUMERIC_FEATURES = [
     *[f"billed_{d}d" for d in TRAILING_DAYS],
@@ -92,7 +94,7 @@ def rfm_quintiles(features: DataFrame) -> DataFrame:
     base = stage(
         features.select(
             "customer_id",
-            F.coalesce(-F.col("recency_days").cast("double"), F.lit(float("-inf"))).alias("freshness"),
+            F.coalesce(-F.col("recency_days").cast("double"), F.lit(NEVER)).alias("freshness"),
             F.col("n_invoices").cast("double").alias("frequency"),
             F.col("billed_365d").alias("monetary"),
         )
@@ -100,7 +102,7 @@ def rfm_quintiles(features: DataFrame) -> DataFrame:
     size = F.lit(base.count())
     ranked = base
     for measure, name in (("freshness", "r"), ("frequency", "f"), ("monetary", "m")):
-        ranked = number_rows(ranked, F.col(measure), F.col("customer_id"), f"{name}_position")
+        ranked = number_rows(ranked, F.col(measure), F.col("customer_id"), f"{name}_position", base)
     parts = [ntile_from_position(F.col(f"{n}_position"), size, 5).alias(f"{n}_quintile") for n in "rfm"]
     out = ranked.select("customer_id", *parts)
     return out.withColumn("rfm_code", F.col("r_quintile") * 100 + F.col("f_quintile") * 10 + F.col("m_quintile"))

@@ -8,6 +8,7 @@ that runs again puts its rows in the same slots.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -27,12 +28,12 @@ def slot_count(df: DataFrame) -> int:
 
 def cut_points(df: DataFrame, sizes: Mapping[str, int]) -> dict[str, list[float]]:
     """Ascending distinct quantile cut points per numeric column: one pass, at most ``MAX_SLOTS`` numbers each."""
-    wanted = [
-        F.percentile_approx(F.col(name).cast("double"), [i / n for i in range(1, n)], 20 * n).alias(name)
-        for name, n in sizes.items()
-    ]
-    row = df.agg(*wanted).first()
-    return {name: sorted(set(row[name] or [0.0])) for name in sizes}
+    def quantiles(name: str, n: int) -> Column:
+        levels = ", ".join(f"{i / n!r}D" for i in range(1, n))
+        return F.expr(f"percentile_approx(CAST(`{name}` AS DOUBLE), array({levels}), {20 * n})").alias(name)
+
+    row = df.agg(*[quantiles(name, n) for name, n in sizes.items()]).first()
+    return {name: sorted({c for c in row[name] or () if math.isfinite(c)} or {0.0}) for name in sizes}
 
 
 def add_slots(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str = "_slot") -> DataFrame:
@@ -54,7 +55,9 @@ def add_slots(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str =
     slots = []
     for name in names:
         number = F.col(bins[name]).cast("int")
-        below = F.element_at(F.array(*[F.lit(float(c)) for c in cuts[name]]), number)
+        # the whole list of cut points as one constant
+        known = F.expr(f"array({', '.join(f'{float(c)!r}D' for c in cuts[name])})")
+        below = F.element_at(known, number)
         slot = F.when(number == 0, 0).when(F.col(raw[name]) == below, 2 * number - 1).otherwise(2 * number)
         slots.append(F.when(F.col(raw[name]).isNotNull(), slot).cast("int").alias(name + suffix))
     return wide.select(*kept, *slots)
@@ -95,26 +98,34 @@ def running_totals(
     )
 
 
-def number_rows(df: DataFrame, value: Column, tie: Column, position: str = "position") -> DataFrame:
+def number_rows(
+    df: DataFrame, value: Column, tie: Column, position: str = "position", base: DataFrame | None = None
+) -> DataFrame:
     """Adds the 1-based position of each row when ordered by ``value`` then the unique ``tie``, both ascending.
 
     Rows with a value of their own slot (one that many rows share) are spread over slots of the tie column as well.
-    The input is read more than once: stage it when it is costly.
+    The input is read more than once: stage it when it is costly. ``base`` has the same rows as ``df`` in a cheaper
+    form, to count them from.
     """
     kept = df.columns
-    keyed = df.select("*", value.cast("double").alias("__value"), tie.cast("double").alias("__tie"))
-    cuts = cut_points(keyed, {"__value": slot_count(df), "__tie": TIE_SLOTS})
-    slotted = add_slots(keyed, cuts)
-    slotted = slotted.withColumn(
-        "__tie_slot", F.when(F.col("__value_slot") % 2 == 1, F.col("__tie_slot")).otherwise(0)
-    ).withColumn("__one", F.lit(1).cast("bigint"))
+    base = df if base is None else base
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.select("*", value.cast("double").alias("__value"), tie.cast("double").alias("__tie"))
+
+    cuts = cut_points(keyed(base), {"__value": slot_count(df), "__tie": TIE_SLOTS})
+
+    def slotted(rows: DataFrame) -> DataFrame:
+        spread = F.when(F.col("__value_slot") % 2 == 1, F.col("__tie_slot")).otherwise(0)
+        return add_slots(keyed(rows), cuts).withColumn("__tie_slot", spread)
+
     slot = ["__value_slot", "__tie_slot"]
     # value slots x tie slots bounds the totals, whatever the number of rows
-    totals = slotted.groupBy(*slot).agg(F.sum("__one").alias("__n"))
+    totals = slotted(base).groupBy(*slot).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(*slot).rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(totals.select(*slot, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")))
     inside = Window.partitionBy(*slot).orderBy(value.asc(), tie.asc())
-    return slotted.join(offsets, slot).select(
+    return slotted(df).join(offsets, slot).select(
         *kept, (F.row_number().over(inside) + F.col("__before")).cast("bigint").alias(position)
     )
 
