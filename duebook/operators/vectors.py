@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ MAX_BROADCAST_QUERIES = 4096
 GRID_QUERIES, GRID_CORPUS = 2048, 65536
 RULE = "-" * 80
 HITS = "query_id string, vec_id bigint, distance double"
+ARROW_HITS = pa.schema([("query_id", pa.string()), ("vec_id", pa.int64()), ("distance", pa.float64())])
 
 
 def distances(corpus: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
@@ -52,12 +54,10 @@ class BestHits:
         self.ids = np.empty((0, len(self.names)), dtype="int64")
         self.found = np.empty((0, len(self.names)))
 
-    def add(self, batch: pd.DataFrame) -> None:
-        if batch.empty:
-            return
-        d = distances(np.stack(batch["vector"].to_numpy()).astype("float64"), self.matrix, self.metric)
-        allowed = batch["match"].to_numpy()[:, None] == self.groups[None, :]
-        ids, d = keep_best(batch["vec_id"].to_numpy(), np.where(allowed, d, np.inf), self.k)
+    def add(self, ids: np.ndarray, vectors: np.ndarray, groups: np.ndarray) -> None:
+        d = distances(vectors.astype("float64"), self.matrix, self.metric)
+        allowed = groups[:, None] == self.groups[None, :]
+        ids, d = keep_best(ids, np.where(allowed, d, np.inf), self.k)
         ids, d = np.vstack([self.ids, ids]), np.vstack([self.found, d])
         by_id = np.argsort(ids, axis=0, kind="stable")
         ids, d = np.take_along_axis(ids, by_id, axis=0), np.take_along_axis(d, by_id, axis=0)
@@ -75,13 +75,19 @@ def _broadcast_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str)
     table = pd.DataFrame([r.asDict() for r in queries.take(MAX_BROADCAST_QUERIES)])
     shared = corpus.sparkSession.sparkContext.broadcast(table)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = BestHits(shared.value, k, metric)
         for batch in batches:
-            best.add(batch)
-        yield best.rows()
+            n = batch.num_rows
+            if n:
+                # the vectors of a batch lie in one buffer
+                flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
+                groups = batch.column("match").to_numpy(zero_copy_only=False)
+                best.add(batch.column("vec_id").to_numpy(), flat.reshape(n, -1), groups)
+        hits = best.rows()
+        yield pa.RecordBatch.from_pandas(hits, schema=ARROW_HITS, preserve_index=False)
 
-    return corpus.mapInPandas(scan, HITS)
+    return corpus.mapInArrow(scan, HITS)
 
 
 def _grid_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str, block: tuple[int, int]) -> DataFrame:
@@ -102,7 +108,7 @@ def _grid_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str, block
         if q.empty or c.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "distance": []})
         best = BestHits(q, k, metric)
-        best.add(c)
+        best.add(c["vec_id"].to_numpy(), np.stack(c["vector"].to_numpy()), c["match"].to_numpy())
         return best.rows()
 
     keys = ["q_block", "c_block"]
@@ -126,7 +132,7 @@ def nearest(
     if not match:
         queries, corpus = (df.withColumn("match", F.lit("")) for df in (queries, corpus))
     queries = stage(queries.select("query_id", "vector", "match"))
-    corpus = corpus.select("vec_id", "vector", "match")
+    corpus = corpus.select("vec_id", "vector", "match").filter(F.col("vector").isNotNull())
     if queries.limit(max_broadcast + 1).count() <= max_broadcast:
         hits = _broadcast_scan(queries, corpus, k, metric)
     else:

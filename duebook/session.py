@@ -11,9 +11,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Broadcasts are allowed up to this many rows of a narrow lookup; beyond it the callers take another route.
-BROADCAST_ROWS = 1_000_000
-
 
 def local_session(cores: int | str = "*", name: str = "duebook", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks; on a cluster use the session the cluster provides."""

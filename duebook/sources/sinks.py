@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .schemas import conform
+
 
 def overwrite(df: DataFrame, path: str) -> None:
     """Replaces the table and its schema."""
     df.write.mode("overwrite").parquet(path)
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """Adds rows to an append-only run log; the first run creates it."""
-    df.write.mode("append").parquet(path)
+def append_log(df: DataFrame, path: str, target: T.StructType | None = None) -> None:
+    """Adds rows to an append-only run log, cast to its schema; the first run creates it."""
+    (conform(df, target) if target else df).write.mode("append").parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:

@@ -71,8 +71,8 @@ def test_salted_lookup_equals_join(spark):
     facts = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)], "id int, k string")
     dim = facts.select("k").distinct().withColumn("v", F.length("k"))
     want = sorted(map(tuple, facts.join(dim, "k").select("id", "k", "v").collect()))
-    for limit in (1_000_000, 3):
-        got = lookup.lookup(facts, dim, "k", F.col("id"), limit)
+    for salts in (1, 16):
+        got = lookup.salted_lookup(facts, dim, "k", F.col("id"), salts)
         assert sorted(map(tuple, got.select("id", "k", "v").collect())) == want
 
 

@@ -109,3 +109,12 @@ def test_quintiles_of_customers_without_invoices(spark):
     df = spark.createDataFrame(rows, "customer_id int, recency_days int, n_invoices int, billed_365d double")
     got = {r["customer_id"]: (r["r_quintile"], r["f_quintile"]) for r in features.rfm_quintiles(df).collect()}
     assert got[0] == (1, 1) and got[1] == (5, 1) and got[9] == (1, 5)
+
+
+def test_ledger_frames_have_the_declared_types(spark, folder):
+    from duebook.sources import schemas
+    from duebook.sources.ledger import Ledger
+
+    book = Ledger(spark, folder)
+    for df, target in ((book.customers(), schemas.CUSTOMERS), (book.invoices(), schemas.INVOICES), (book.payments(), schemas.PAYMENTS)):
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in target]

@@ -1,11 +1,15 @@
 import datetime as dt
 
+import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duebook.session import workspace
-from duebook.sources import sinks
-from duebook.streaming import chunks, ingest, metrics
+from duebook.operators import learning, monitoring
+from duebook.sources import schemas, sinks
+from duebook.sources.documents import read_documents
+from duebook.streaming import chunks, ingest, metrics, scoring
 
 DROP = T.StructType([T.StructField("id", T.LongType()), T.StructField("amount", T.DoubleType())])
 
@@ -83,3 +87,39 @@ def test_log_append_and_freshness(spark):
     assert log.count() == 2
     assert sinks.freshness(log, "log").first()["last_update"] is not None
     assert sinks.health(log.filter(F.lit(False)), "log").first()["status"] == "EMPTY"
+
+
+def test_log_rows_are_cast_to_the_table(spark):
+    root = workspace(spark, "test")
+    row = spark.createDataFrame([(1, 2.0, "OK")], "n_drifted int, drift_pct double, status string")
+    sinks.append_log(row, root, schemas.MONITORING)
+    assert spark.read.parquet(root).schema.names == schemas.MONITORING.names
+    with pytest.raises(ValueError):
+        schemas.conform(row.withColumn("other", F.lit(1)), schemas.MONITORING)
+    assert list(monitoring.log_columns()) == schemas.METRIC_LOG.names
+
+
+def test_documents_are_read_whole(spark):
+    root = workspace(spark, "test")
+    text = "first line\nsecond line"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(root)
+    rows = read_documents(spark, root).collect()
+    assert [r["text"].strip() for r in rows if r["text"].strip()] == [text]
+    assert rows[0]["path"].endswith(rows[0]["name"] + ".txt")
+
+
+def test_saved_model_scores_a_stream_by_key(spark):
+    root = workspace(spark, "test")
+    rows = [(i, i % 2, float(i % 2), "A", "SMALL") for i in range(60)]
+    cases = spark.createDataFrame(rows, "customer_id int, label int, a double, sector string, size_band string")
+    learning.fit_default_model(cases, ["a"]).write().save(f"{root}/model")
+    model = PipelineModel.load(f"{root}/model")
+    requests = cases.drop("label")
+    requests.write.parquet(f"{root}/requests")
+
+    def score(df):
+        return learning.score_default(model, df).select("customer_id", "score", "predicted")
+
+    scoring.score_requests(spark, f"{root}/requests", requests.schema, score, f"{root}/out", f"{root}/cp")
+    got = {r["customer_id"]: r["predicted"] for r in spark.read.parquet(f"{root}/out").collect()}
+    assert got == {i: i % 2 for i in range(60)}
