@@ -38,16 +38,19 @@ def metadata(documents: DataFrame) -> DataFrame:
 def chunks(documents: DataFrame, size: int = CHUNK_WORDS, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """One row per word window; the first chunk of a document also carries the whole text."""
     windows = word_windows(F.col("tokens"), size, overlap)
+    # the text is attached inside the array, so that exploding does not copy it once per chunk
+    parts = F.transform(
+        windows,
+        lambda chunk, i: F.struct(
+            F.concat(F.col("doc_id").cast("string"), F.lit("_chunk_"), i.cast("string")).alias("chunk_id"),
+            i.alias("chunk_index"),
+            chunk.alias("chunk_text"),
+            F.when(i == 0, F.col("text")).alias("full_text"),
+        ),
+    )
     split = documents.withColumn("tokens", words(F.col("text")))
-    parts = split.select("doc_id", "lang", "source", "text", F.posexplode(windows).alias("chunk_index", "chunk_text"))
-    return parts.select(
-        "doc_id",
-        "lang",
-        "source",
-        F.concat(F.col("doc_id").cast("string"), F.lit("_chunk_"), F.col("chunk_index").cast("string")).alias("chunk_id"),
-        "chunk_index",
-        "chunk_text",
-        F.when(F.col("chunk_index") == 0, F.col("text")).alias("full_text"),
+    return split.select("doc_id", "lang", "source", parts.alias("parts")).select(
+        "doc_id", "lang", "source", F.inline("parts")
     )
 
 

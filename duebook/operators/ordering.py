@@ -9,6 +9,7 @@ that runs again puts its rows in the same slots.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -36,16 +37,20 @@ def cut_points(df: DataFrame, sizes: Mapping[str, int]) -> dict[str, list[float]
     return {name: sorted({c for c in row[name] or () if math.isfinite(c)} or {0.0}) for name in sizes}
 
 
+def number_or_null(column: Column) -> Column:
+    return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
+
+
 def add_slots(df: DataFrame, cuts: Mapping[str, Sequence[float]], suffix: str = "_slot") -> DataFrame:
     """Adds ``<column>_slot``: odd for a value equal to a cut point, even for the range between two of them.
 
-    A value that many rows share is itself a cut point and so gets an (odd) slot of its own. NULL stays NULL.
+    A value that many rows share is itself a cut point and so gets an (odd) slot of its own. NULL and NaN have none.
     """
     names = list(cuts)
     kept = df.columns
     raw = {name: f"__{name}_double" for name in names}
     bins = {name: f"__{name}_bin" for name in names}
-    wide = df.select("*", *[F.col(n).cast("double").alias(raw[n]) for n in names])
+    wide = df.select("*", *[number_or_null(F.col(n)).alias(raw[n]) for n in names])
     wide = Bucketizer(
         splitsArray=[[float("-inf"), *cuts[n], float("inf")] for n in names],
         inputCols=[raw[n] for n in names],
@@ -101,9 +106,9 @@ def running_totals(
 def number_rows(
     df: DataFrame, value: Column, tie: Column, position: str = "position", base: DataFrame | None = None
 ) -> DataFrame:
-    """Adds the 1-based position of each row when ordered by ``value`` then the unique ``tie``, both ascending.
+    """Adds the 1-based position of each row when ordered by ``value`` (as a double) then the unique ``tie``, ascending.
 
-    Rows with a value of their own slot (one that many rows share) are spread over slots of the tie column as well.
+    Rows without a value come last.     Rows with a value of their own slot (one that many rows share) are spread over slots of the tie column as well.
     The input is read more than once: stage it when it is costly. ``base`` has the same rows as ``df`` in a cheaper
     form, to count them from.
     """
@@ -111,7 +116,8 @@ def number_rows(
     base = df if base is None else base
 
     def keyed(rows: DataFrame) -> DataFrame:
-        return rows.select("*", value.cast("double").alias("__value"), tie.cast("double").alias("__tie"))
+        known = F.coalesce(number_or_null(value), F.lit(sys.float_info.max))
+        return rows.select("*", known.alias("__value"), tie.cast("double").alias("__tie"))
 
     cuts = cut_points(keyed(base), {"__value": slot_count(df), "__tie": TIE_SLOTS})
 
@@ -124,7 +130,7 @@ def number_rows(
     totals = slotted(base).groupBy(*slot).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(*slot).rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(totals.select(*slot, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")))
-    inside = Window.partitionBy(*slot).orderBy(value.asc(), tie.asc())
+    inside = Window.partitionBy(*slot).orderBy(F.col("__value"), tie.asc())
     return slotted(df).join(offsets, slot).select(
         *kept, (F.row_number().over(inside) + F.col("__before")).cast("bigint").alias(position)
     )
@@ -144,10 +150,10 @@ def ntile_from_position(position: Column, rows: Column, tiles: int) -> Column:
 
 
 def unpivot_features(df: DataFrame, features: Sequence[str], keep: Sequence[str], slots: bool = True) -> DataFrame:
-    """One row per kept columns and feature: ``(keep…, feature, value[, slot])``; NULL values are dropped."""
+    """One row per kept columns and feature: ``(keep…, feature, value[, slot])``; NULL and NaN are dropped."""
     fields = []
     for name in features:
-        parts = [F.lit(name).alias("feature"), F.col(name).cast("double").alias("value")]
+        parts = [F.lit(name).alias("feature"), number_or_null(F.col(name)).alias("value")]
         if slots:
             parts.append(F.col(f"{name}_slot").alias("slot"))
         fields.append(F.struct(*parts))

@@ -80,3 +80,15 @@ def test_ntile_matches_sql(spark):
         tiles = ntile_from_position(F.col("id"), F.lit(n), 5)
         pairs = df.select(tiles.alias("a"), F.ntile(5).over(Window.orderBy("id")).alias("b")).collect()
         assert all(r["a"] == r["b"] for r in pairs), n
+
+
+def test_rows_without_a_value_are_numbered_last(spark):
+    df = spark.createDataFrame([(1, None), (2, 5.0), (3, float("nan")), (4, -1.0), (5, None)], "id bigint, x double")
+    got = {r["id"]: r["position"] for r in number_rows(df, F.col("x"), F.col("id")).collect()}
+    assert got == {4: 1, 2: 2, 1: 3, 3: 4, 5: 5}
+
+
+def test_nan_and_null_are_left_out_of_quantiles(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,)], "x double")
+    row = exact_quantiles(df, ["x"], {"median": 0.5}).first()
+    assert (row["n"], row["median"]) == (2, 2.0)
