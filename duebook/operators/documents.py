@@ -101,7 +101,9 @@ def validate(rendered: DataFrame) -> DataFrame:
         .otherwise("REJECTED")
     )
     severities = F.create_map(*[F.lit(x) for pair in SEVERITY.items() for x in pair])
-    shown = F.coalesce(F.col("pct_diff").cast("decimal(18,2)").cast("string"), F.lit("unknown"))
+    # the six-digit percentage is exact as a decimal, so the two digits shown round half up
+    shown = F.col("pct_diff").cast("decimal(18,6)").cast("decimal(18,2)").cast("string")
+    shown = F.coalesce(shown, F.lit("unknown"))
     issue = F.concat(F.lit("Amount differs by "), shown, F.lit("% or a required field is missing"))
     rejected = (F.col("status") != "APPROVED").cast("int")
     return checked.withColumn("status", status).select(

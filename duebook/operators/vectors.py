@@ -133,7 +133,10 @@ def nearest(
         queries, corpus = (df.withColumn("match", F.lit("")) for df in (queries, corpus))
     queries = stage(queries.select("query_id", "vector", "match"))
     corpus = corpus.select("vec_id", "vector", "match").filter(F.col("vector").isNotNull())
-    if queries.limit(max_broadcast + 1).count() <= max_broadcast:
+    asked = queries.limit(max_broadcast + 1).count()
+    if asked == 0:
+        hits = corpus.sparkSession.createDataFrame([], HITS)
+    elif asked <= max_broadcast:
         hits = _broadcast_scan(queries, corpus, k, metric)
     else:
         hits = _grid_scan(queries, corpus, k, metric, block)

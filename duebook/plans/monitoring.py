@@ -98,8 +98,8 @@ def event_halves(book: Ledger) -> DataFrame:
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     ends = events.agg(F.min(micros).alias("first"), F.max(micros).alias("last")).first()
     middle = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=(ends["first"] + ends["last"]) // 2)
-    middle = middle.replace(hour=0, minute=0, second=0, microsecond=0)
-    return events.withColumn("is_current", F.col("ts") >= F.lit(middle).cast("timestamp_ntz"))
+    # as text, so that the time zone of the driver plays no part
+    return events.withColumn("is_current", F.col("ts") >= F.lit(f"{middle:%Y-%m-%d} 00:00:00").cast("timestamp_ntz"))
 
 
 def invoice_halves(book: Ledger) -> DataFrame:

@@ -129,7 +129,7 @@ view(
     f"""
 SELECT *, CASE status WHEN 'APPROVED' THEN 'OK' WHEN 'APPROVED_WITH_REMARK' THEN 'LOW' ELSE 'HIGH' END AS severity,
   CASE WHEN status = 'APPROVED' THEN 'No issues' ELSE 'Amount differs by '
-    || CAST(CAST(pct_diff AS DECIMAL(18,2)) AS VARCHAR) || '% or a required field is missing' END AS issues,
+    || CAST(CAST(CAST(pct_diff AS DECIMAL(18,6)) AS DECIMAL(18,2)) AS VARCHAR) || '% or a required field is missing' END AS issues,
   CAST(status <> 'APPROVED' AS INTEGER) + missing_fields AS n_issues
 FROM (SELECT *, CASE WHEN missing_fields = 0 AND pct_diff <= 2 THEN 'APPROVED'
     WHEN missing_fields = 0 AND pct_diff <= 5 THEN 'APPROVED_WITH_REMARK' ELSE 'REJECTED' END AS status
