@@ -48,10 +48,9 @@ def chunks(documents: DataFrame, size: int = CHUNK_WORDS, overlap: int = CHUNK_O
             F.when(i == 0, F.col("text")).alias("full_text"),
         ),
     )
+    # the generator reads the finished ``tokens`` column; projecting in between would split the text several times
     split = documents.withColumn("tokens", words(F.col("text")))
-    return split.select("doc_id", "lang", "source", parts.alias("parts")).select(
-        "doc_id", "lang", "source", F.inline("parts")
-    )
+    return split.select("doc_id", "lang", "source", F.inline(parts))
 
 
 def chunk_errors(documents: DataFrame) -> DataFrame:

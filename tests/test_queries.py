@@ -66,6 +66,11 @@ def test_scans_read_only_what_they_need(spark, folder):
     assert schema and "o_orderpriority" not in schema[0] and "o_orderkey" not in schema[0]
 
 
+def test_chunking_splits_a_text_once(spark, folder):
+    plan = QUERIES["doc_chunks"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
 def test_package_never_pulls_tables_to_the_driver():
     banned = re.compile(r"\.toPandas\(|\.collect\(\)|localCheckpoint|crossJoin|\.rdd\b")
     for path in PACKAGE.rglob("*.py"):
