@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, pii, quality, simhash
+from . import hmm, mixing, neighbours, pieces, pii, quality, simhash
 from .common import table
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -20,6 +20,34 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings", "vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+ORACLES["op1_neighbours"] = """
+WITH vectors AS (
+    SELECT vec_id, min(embedding::DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    GROUP BY vec_id
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op3_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm.score(table(spark, folder, "documents", "doc_id", "text"))[0]
+
+
 @query
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents", "doc_id", "text", "lang")
