@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 
 from .common import crc_remainder, slices, stage_table, texts
 
-STATES, ROUNDS, SEED = 8, 6, 11
+STATES, ROUNDS, SEED = 6, 4, 11
 OWN_CLASSES, HASHED_CLASSES = 8_192, 1_024
 #: Frequent words that tasks look up without a join.
 LISTED_WORDS = 131_072
 END = OWN_CLASSES + HASHED_CLASSES
 CLASSES = END + 1
-WINDOW, WINDOWS = 64, 4_096
+WINDOW, WINDOWS = 64, 1_024
 STRETCH = 2_048
 COUNTED_WORDS = 400_000
 #: Weight of the states' common distribution in each state's emissions, in tokens.
@@ -65,6 +65,13 @@ class Model:
     emissions: np.ndarray
 
 
+class _Places(dict):
+    """Word to its place in the list; -1 for others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 def count_words(documents: DataFrame) -> DataFrame:
     """(word, n) over ``text``; blanks separate words, A-Z count as a-z."""
 
@@ -115,7 +122,7 @@ def base_log(counts: np.ndarray | int, known: Vocabulary) -> np.ndarray:
 
 def encode(documents: DataFrame, known: Vocabulary) -> DataFrame:
     """Per row: key, token counts, sums over listed words, class sequence (int32 bytes), and its other words with counts."""
-    place = {word: i for i, word in enumerate(known.words)}
+    place = _Places((word, i) for i, word in enumerate(known.words))
     classes = np.array([i if i < OWN_CLASSES else _class_of(w) for i, w in enumerate(known.words)] + [0], np.int32)
     hashed = np.maximum(classes[:-1] - OWN_CLASSES, 0)
     share = np.log10((known.counts + 1) / (known.class_tokens[hashed] + known.class_words[hashed] + 1))
@@ -126,12 +133,11 @@ def encode(documents: DataFrame, known: Vocabulary) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = TaskContext.get().partitionId() << 40
-        get = place.get
         for batch in slices(batches, "text"):
             out: list[list] = [[] for _ in range(8)]
             for text in texts(batch.column("text")):
                 words = text.lower().split()
-                found = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
+                found = np.fromiter(map(place.__getitem__, words), np.int32, len(words))
                 sequence = np.append(classes[found], np.int32(END))
                 missing = np.flatnonzero(found < 0)
                 other: Counter = Counter(words[i] for i in missing.tolist())
@@ -166,34 +172,34 @@ def expected(windows: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray,
     """Expected starts, moves and emissions over windows (time by window, -1 pads the end), and their log likelihood."""
     length, many = windows.shape
     states = len(model.start)
-    table = np.vstack([model.emissions, np.ones(states)]).astype(np.float32)
-    moves = model.moves.astype(np.float32)
-    seen = table[windows]
-    inside = windows >= 0
-    ahead = np.empty((length, many, states), np.float32)
+    table = np.hstack([model.emissions.T, np.ones((states, 1))]).astype(np.float32)
+    onward, back = model.moves.T.astype(np.float32).copy(), model.moves.astype(np.float32)
+    inside = (windows >= 0).astype(np.float32)
+    seen = np.empty((length, states, many), np.float32)
+    ahead = np.empty_like(seen)
     scale = np.empty((length, many), np.float32)
-    now = model.start.astype(np.float32) * seen[0]
+    now = np.repeat(model.start.astype(np.float32)[:, None], many, axis=1)
     for t in range(length):
-        if t:
-            now = (now @ moves) * seen[t]
-        scale[t] = np.maximum(now.sum(1), 1e-30)
-        now = now / scale[t][:, None]
+        np.take(table, windows[t], axis=1, out=seen[t], mode="wrap")
+        now = (onward @ now if t else now) * seen[t]
+        scale[t] = np.maximum(now.sum(0), 1e-30)
+        now /= scale[t]
         ahead[t] = now
-    behind = np.ones((many, states), np.float32)
+    behind = np.ones((states, many), np.float32)
     pairs = np.zeros((states, states))
     weights = np.empty_like(ahead)
     for t in range(length - 1, -1, -1):
-        weights[t] = ahead[t] * behind * inside[t][:, None]
+        np.multiply(ahead[t], behind, out=weights[t])
+        weights[t] *= inside[t]
         if t:
-            onward = behind * seen[t] / scale[t][:, None]
-            pairs += ahead[t - 1].T @ (onward * inside[t][:, None])
-            behind = onward @ moves.T
-    flat, counts = windows.ravel(), np.empty((CLASSES, states))
-    used = flat >= 0
-    flat, weights_flat = flat[used], weights.reshape(-1, states)[used]
+            later = behind * seen[t]
+            later /= scale[t]
+            pairs += ahead[t - 1] @ (later * inside[t]).T
+            behind = back @ later
+    flat, counts = windows.ravel() + 1, np.empty((CLASSES, states))
     for state in range(states):
-        counts[:, state] = np.bincount(flat, weights_flat[:, state], CLASSES)
-    return weights[0].sum(0), pairs * model.moves, counts, float(np.log(scale[inside]).sum())
+        counts[:, state] = np.bincount(flat, weights[:, state].ravel(), CLASSES + 1)[1:]
+    return weights[0].sum(1), pairs * model.moves, counts, float((np.log(scale) * inside).sum())
 
 
 def _windows(rows: list[bytes]) -> Iterator[np.ndarray]:
@@ -222,8 +228,8 @@ def baum_welch(encoded: DataFrame, rounds: int = ROUNDS, states: int = STATES) -
         total, head, likelihood = np.zeros((CLASSES, width)), np.zeros((states + 1, states)), 0.0
         for batch in batches:
             column = batch.column("classes")
-            for at in range(0, len(column), 512):
-                part = column.slice(at, 512).to_pylist()
+            for at in range(0, len(column), 2_048):
+                part = column.slice(at, 2_048).to_pylist()
                 if model is None:
                     total[:, 0] += np.bincount(np.frombuffer(b"".join(part), np.int32), minlength=CLASSES)
                     continue
@@ -279,16 +285,21 @@ def sequence_logs(rows: list[bytes], model: Model, stretch: int = STRETCH) -> np
                 opening.append(vector)
     length = np.array(length)
     order = np.argsort(-length, kind="stable")
-    begin, now = np.array(begin)[order], np.array(opening)[order]
+    begin, now = np.array(begin)[order], np.array(opening).T[:, order]
     active = np.searchsorted(-length[order], -np.arange(length.max()), side="left")
-    logs = np.zeros(len(order))
+    table, onward = model.emissions.T.copy(), model.moves.T.copy()
+    logs, ended = np.zeros(len(order)), np.empty_like(now)
     for t, live in enumerate(active.tolist()):
-        step = (now[:live] @ model.moves if t else now[:live]) * model.emissions[flat[begin[:live] + t]]
-        scale = step.sum(1)
-        now[:live] = step / scale[:, None]
+        if live < now.shape[1]:
+            ended[:, live : now.shape[1]] = now[:, live:]
+            now = now[:, :live]
+        now = (onward @ now if t else now) * np.take(table, flat[begin[:live] + t], axis=1)
+        scale = now.sum(0)
+        now /= scale
         logs[:live] += np.log10(scale)
-    final, sums = np.empty_like(now), np.empty_like(logs)
-    final[order], sums[order] = now, logs
+    ended[:, : now.shape[1]] = now
+    final, sums = np.empty(ended.T.shape), np.empty_like(logs)
+    final[order], sums[order] = ended.T, logs
     out, at = np.empty(len(rows)), 0
     for i, size in enumerate(sizes.tolist()):
         vector, total = final[at], sums[at]
@@ -309,8 +320,8 @@ def _forward(encoded: DataFrame, model: Model) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1_024):
-                part = batch.slice(at, 1_024)
+            for at in range(0, batch.num_rows, 4_096):
+                part = batch.slice(at, 4_096)
                 found = sequence_logs(part.column("classes").to_pylist(), model)
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(found)], [*names, "sequence"])
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hmm, mixing, neighbours, pieces, pii, quality, simhash
-from .common import table
+from . import chat, hmm, licences, mixing, neighbours, pieces, pii, quality, simhash, toxicity
+from .common import stage_table, table
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,44 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+@query
+def op2_licence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents", "doc_id", "text"))
+    joined = [F.array_join(name, ",").alias(name) for name in ("sequence", "licences", "unmatched")]
+    return found.select("doc_id", "n_sentences", *joined)
+
+
+def _licence_sql() -> str:
+    known = sorted(licences.SENTENCES, key=lambda s: -len(s[0]))
+    cases = " ".join(f"WHEN s = '{text}' OR starts_with(s, '{text} ') THEN '{name}'" for text, name in known)
+    marks = "CASE WHEN len(sequence) > 0 THEN ' ' || replace(array_to_string(sequence, ' '), ' ', '  ') || ' ' ELSE '' END"
+    for number, (_, parts) in enumerate(licences.RULES):
+        marks = f"replace({marks}, ' {'  '.join(parts)} ', ' #{number} ')"
+    names = "[" + ", ".join(f"'{name}'" for name, _ in licences.RULES) + "]"
+    return f"""
+WITH cut AS (
+    SELECT doc_id, list_filter(list_transform(
+        string_split(regexp_replace(regexp_replace(coalesce(text, ''), '[.;:?!]+([ \t\r\n]|$)', chr(10) || '\\1', 'g'), '\n+', chr(10), 'g'), chr(10)),
+        lambda s: trim(s)), lambda s: s <> '') AS sentences
+    FROM documents
+), named AS (
+    SELECT doc_id, CAST(len(sentences) AS BIGINT) AS n_sentences, list_filter(list_transform(
+        list_transform(sentences, lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))),
+        lambda s: CASE {cases} ELSE '' END), lambda s: s <> '') AS sequence
+    FROM cut
+), ruled AS (
+    SELECT *, list_filter(string_split({marks}, ' '), lambda m: m <> '') AS marks FROM named
+)
+SELECT doc_id, n_sentences, array_to_string(sequence, ',') AS sequence,
+    array_to_string(list_transform(list_filter(marks, lambda m: starts_with(m, '#')), lambda m: {names}[CAST(m[2:] AS INT) + 1]), ',') AS licences,
+    array_to_string(list_filter(marks, lambda m: NOT starts_with(m, '#')), ',') AS unmatched
+FROM ruled
+"""
+
+
+ORACLES["op2_licence_rules"] = _licence_sql()
+
+
 @query
 def op3_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
     return hmm.score(table(spark, folder, "documents", "doc_id", "text"))[0]
@@ -67,6 +105,52 @@ def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "labels", "doc_id", "toxic"))
+
+
+EXTRA_CONVERSATION = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+
+
+@query
+def op8_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(EXTRA_CONVERSATION, "conv_id long, turn long, role string, text string")
+    messages = stage_table(chat.from_turns(turns.unionByName(extra)), "messages")
+    formatted = chat.format_paths(chat.reply_paths(messages))
+    found = chat.digests(formatted.withColumn("conv_id", F.regexp_extract("tree", "^(-?[0-9]+):", 1)))
+    names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    return found.select(F.expr("try_cast(conv_id AS bigint)").alias("conv_id"), *names)
+
+
+def _escaped(column: str) -> str:
+    out = f"replace(coalesce({column}, ''), '\\', '\\\\')"
+    for control in chat.CONTROLS:
+        out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+    return out
+
+
+ORACLES["op8_reply_trees"] = f"""
+WITH rows AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS place FROM rows
+), whole AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY place) AS turns,
+        coalesce(string_agg(coalesce(text, ''), '' ORDER BY place) FILTER (role = 'assistant'), '') AS loss,
+        sum(length({_escaped("role")}) + length({_escaped("text")}) + {len(chat.OPEN) + len(chat.CLOSE) + 1}) AS chars
+    FROM placed GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+    CAST(chars AS BIGINT) AS formatted_chars
+FROM whole
+"""
+
+
 @query
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_spans(table(spark, folder, "documents", "doc_id", "text"))
