@@ -34,7 +34,7 @@ from .common import crc_remainder, slices, stage_table, texts
 
 STATES, ROUNDS, SEED = 6, 4, 11
 OWN_CLASSES, HASHED_CLASSES = 8_192, 1_024
-#: Frequent words that tasks look up without a join.
+#: Words that tasks look up without a join, at most: all those of some count or more.
 LISTED_WORDS = 131_072
 END = OWN_CLASSES + HASHED_CLASSES
 CLASSES = END + 1
@@ -99,8 +99,14 @@ def _class_of(word: bytes) -> int:
 
 def vocabulary(counts: DataFrame, ends: int) -> tuple[Vocabulary, DataFrame]:
     """The bounded part of a staged word count, and the rest of it as a table."""
-    order = (F.desc("n"), "word")
-    listed = counts.orderBy(*order).limit(LISTED_WORDS).collect()
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(LISTED_WORDS).collect()
+    least, listed = math.inf, 0
+    for row in sizes:
+        listed += row.words
+        if listed > LISTED_WORDS:
+            break
+        least = row.n
+    listed = sorted(counts.where(F.col("n") >= least).collect() if sizes and least < math.inf else [], key=lambda r: (-r.n, r.word))
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("words")).first()
     kept = [(r.word,) for r in listed]
     session = counts.sparkSession

@@ -7,7 +7,7 @@ misses of the domain totals, and a weak pull to rate 1) by accelerated projected
 domain totals, one distributed sum; a document's rate is a function of its membership and the short list of past
 gradients, so rates are replayed wherever they are needed, and no state is kept or joined.
 
-Labelled rows are a bounded sample (``labelled_limit``, in hash order); memberships, totals and rates cover all rows.
+Labelled rows are a bounded sample (about ``labelled_limit``, by hash); memberships, totals and rates cover all rows.
 
 Defined cases: a null or blank text has no tokens, membership by the prior, and weighs nothing in the totals; without
 labelled rows there is one domain, so one rate; repeated rows are documents of their own with equal rates; a target of

@@ -7,7 +7,7 @@ common substitutions. The lexicon is learnt from the labelled training texts: wo
 a toxic document stand clear of zero, less their sampling error. Trees are trained on three quarters of the labelled training rows; the
 rest, unseen by lexicon and trees, calibrates their margin by isotonic regression.
 
-Labelled rows are a bounded sample (``labelled_limit``, in hash order); every document is scored on its whole text.
+Labelled rows are a bounded sample (about ``labelled_limit``, by hash); every document is scored on its whole text.
 
 Defined cases: null text counts as empty, whose features are all zero; rows are scored alone, so repeated rows and ties
 get equal scores; with no labels, or of one class only, every score is that class's share (0.5 with none); labels,
