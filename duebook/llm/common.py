@@ -15,8 +15,13 @@ from duebook.session import workspace
 SLICE_ROWS, SLICE_BYTES = 2_000, 8_000_000
 
 
+#: Rows of an Arrow batch: texts can be long, and a batch lies in memory twice.
+BATCH_ROWS = 1_000
+
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    """A given table, reduced to ``columns`` where some are named."""
+    """A given table, reduced to ``columns`` where some are named; the session's Arrow batches become small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     frame = spark.read.parquet(f"{folder}/{name}.parquet")
     return frame.select(*columns) if columns else frame
 
@@ -44,6 +49,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             end = max(start + 1, min(end, start + SLICE_ROWS, batch.num_rows))
             yield batch.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()
 
 
 def crc_remainder(column: str, modulus: int):

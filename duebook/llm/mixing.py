@@ -32,7 +32,7 @@ from .common import labelled_sample, slices, stage_table, texts
 BUCKETS = 32_768
 LABELLED_LIMIT = 20_000
 WINDOW = 64
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 200_000
 #: Exponent that flattens the found shares into default targets.
 FLATTEN = 0.7
 PULL = 1e-4

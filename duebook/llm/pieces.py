@@ -34,7 +34,7 @@ UNIGRAM, BPE = 1, 2
 THREADS = 2
 #: Text bytes that are encoded at a time, and words whose parity a task remembers.
 SLICE_BYTES = 1_000_000
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS, LEARNT_AT_ONCE = 300_000, 4_096
 REPORT = "doc_id long, n_ids long, ids array<int>, round_trip boolean, parity boolean"
 
 
@@ -106,7 +106,7 @@ def build(message: bytes):
     fallback = any(kind == BYTE for *_, kind in pieces)
     if model["kind"] == BPE:
         vocabulary = {piece: i for i, (piece, _, _) in enumerate(pieces)}
-        core = models.BPE(vocabulary, merges(model), unk_token=pieces[unknown][0], fuse_unk=True, byte_fallback=fallback, cache_capacity=100_000)
+        core = models.BPE(vocabulary, merges(model), unk_token=pieces[unknown][0], fuse_unk=True, byte_fallback=fallback, cache_capacity=0)
     elif model["kind"] == UNIGRAM:
         core = models.Unigram([(piece, score) for piece, score, _ in pieces], unknown, fallback)
     else:
@@ -159,10 +159,12 @@ class Encoder:
             self.known.clear()
             self.odd.clear()
             fresh = list(words)
-        for word, (ids, back, same) in zip(fresh, self.batch(fresh), strict=True):
-            self.known[word] = ids
-            if not (back and same):
-                self.odd[word] = back, same
+        for start in range(0, len(fresh), LEARNT_AT_ONCE):
+            part = fresh[start : start + LEARNT_AT_ONCE]
+            for word, (ids, back, same) in zip(part, self.batch(part), strict=True):
+                self.known[word] = ids
+                if not (back and same):
+                    self.odd[word] = back, same
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool], list[bool]]:
         cut = [self.words(t) for t in texts]
