@@ -108,7 +108,8 @@ def number_rows(
 ) -> DataFrame:
     """Adds the 1-based position of each row when ordered by ``value`` (as a double) then the unique ``tie``, ascending.
 
-    Rows without a value come last.     Rows with a value of their own slot (one that many rows share) are spread over slots of the tie column as well.
+    Rows without a value come last, after infinite ones. Rows with a value of their own slot (one that many rows share)
+    are spread over slots of the tie column as well.
     The input is read more than once: stage it when it is costly. ``base`` has the same rows as ``df`` in a cheaper
     form, to count them from.
     """
@@ -116,7 +117,10 @@ def number_rows(
     base = df if base is None else base
 
     def keyed(rows: DataFrame) -> DataFrame:
-        known = F.coalesce(number_or_null(value), F.lit(sys.float_info.max))
+        # a missing value sorts as the largest double; infinity just before it
+        below = math.nextafter(sys.float_info.max, 0)
+        number = number_or_null(value)
+        known = F.when(number.isNull(), sys.float_info.max).otherwise(F.least(number, F.lit(below)))
         return rows.select("*", known.alias("__value"), tie.cast("double").alias("__tie"))
 
     cuts = cut_points(keyed(base), {"__value": slot_count(df), "__tie": TIE_SLOTS})

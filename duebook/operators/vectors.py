@@ -71,7 +71,7 @@ class BestHits:
 
 
 def _broadcast_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
-    # at most MAX_BROADCAST_QUERIES rows, as counted by the caller
+    # every row: the caller has counted at most MAX_BROADCAST_QUERIES of them
     table = pd.DataFrame([r.asDict() for r in queries.take(MAX_BROADCAST_QUERIES)])
     shared = corpus.sparkSession.sparkContext.broadcast(table)
 
@@ -133,6 +133,7 @@ def nearest(
         queries, corpus = (df.withColumn("match", F.lit("")) for df in (queries, corpus))
     queries = stage(queries.select("query_id", "vector", "match"))
     corpus = corpus.select("vec_id", "vector", "match").filter(F.col("vector").isNotNull())
+    max_broadcast = min(max_broadcast, MAX_BROADCAST_QUERIES)
     asked = queries.limit(max_broadcast + 1).count()
     if asked == 0:
         hits = corpus.sparkSession.createDataFrame([], HITS)

@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duebook.operators.documents import chunks
+from duebook.session import stage
 
 
 def sync_chunks(spark: SparkSession, feed: str, schema: T.StructType, target: str, checkpoint: str) -> None:
-    """Chunks every new document version; a batch owns one folder, so a batch that is retried replaces itself."""
+    """Chunks every new document version; a batch owns its folders, so a batch that is retried replaces itself.
+
+    Beside the chunks a batch writes a log of the versions it saw, so that a version without text is known too.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.groupBy("doc_id").agg(F.max_by(F.struct(*batch.columns), "version").alias("d")).select("d.*")
-        parts = chunks(newest).join(newest.select("doc_id", "version"), "doc_id")
-        parts.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        newest = stage(batch.groupBy("doc_id").agg(F.max_by(F.struct(*batch.columns), "version").alias("d")).select("d.*"))
+        versions = newest.select("doc_id", "version")
+        chunks(newest).join(versions, "doc_id").write.mode("overwrite").parquet(f"{target}/chunks/batch_id={batch_id}")
+        versions.write.mode("overwrite").parquet(f"{target}/versions/batch_id={batch_id}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(feed)
     job = (
@@ -28,10 +33,10 @@ def sync_chunks(spark: SparkSession, feed: str, schema: T.StructType, target: st
 
 
 def current_chunks(spark: SparkSession, target: str) -> DataFrame:
-    """The chunks of each document's newest version."""
-    stored = spark.read.parquet(target).drop("batch_id")
-    newest = stored.groupBy("doc_id").agg(F.max("version").alias("version"))
-    return stored.join(newest, ["doc_id", "version"])
+    """The chunks of each document's newest version, from the last batch that brought it; none if it has no text."""
+    seen = spark.read.parquet(f"{target}/versions")
+    last = seen.groupBy("doc_id").agg(F.max(F.struct("version", "batch_id")).alias("last")).select("doc_id", "last.*")
+    return spark.read.parquet(f"{target}/chunks").join(last, ["doc_id", "version", "batch_id"]).drop("batch_id")
 
 
 def compact(spark: SparkSession, target: str, base: str) -> None:

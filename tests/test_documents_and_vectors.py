@@ -109,3 +109,11 @@ def test_context_has_the_rule_between_documents(spark):
     row = vectors.context_blocks(hits, docs).first()
     first, second = row["context"].split(f"\n{vectors.RULE}\n")
     assert first.endswith("two") and second.endswith("one") and row["n_documents"] == 2
+
+
+def test_no_query_is_lost_whatever_the_broadcast_bound(spark):
+    queries = spark.range(4_200).selectExpr("cast(id AS string) AS query_id", "array(cast(id % 7 AS double), 1.0D) AS vector")
+    corpus = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(7)], "vec_id bigint, vector array<double>")
+    for bound in (10, 10_000):
+        hits = vectors.nearest(queries, corpus, 1, max_broadcast=bound).collect()
+        assert len(hits) == 4_200 and all(r["vec_id"] == int(r["query_id"]) % 7 for r in hits)

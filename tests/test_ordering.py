@@ -92,3 +92,10 @@ def test_nan_and_null_are_left_out_of_quantiles(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,)], "x double")
     row = exact_quantiles(df, ["x"], {"median": 0.5}).first()
     assert (row["n"], row["median"]) == (2, 2.0)
+
+
+def test_missing_values_come_after_infinite_ones(spark):
+    rows = [(0, None), (1, float("inf")), (2, 1.0), (3, float("-inf")), (4, None), (5, float("nan"))]
+    df = spark.createDataFrame(rows, "id bigint, x double")
+    got = {r["id"]: r["position"] for r in number_rows(df, F.col("x"), F.col("id")).collect()}
+    assert got == {3: 1, 2: 2, 1: 3, 0: 4, 4: 5, 5: 6}

@@ -64,8 +64,10 @@ def test_a_new_version_replaces_all_chunks_of_a_document(spark):
     long = " ".join(["w"] * 500)
     assert send((1, long, "en", "s", 1), (2, "a", "en", "s", 1)) == [(1, 1, 0), (1, 1, 1), (1, 1, 2), (2, 1, 0)]
     assert send((1, "short now", "en", "s", 2)) == [(1, 2, 0), (2, 1, 0)]
+    assert send((1, "short now", "en", "s", 2)) == [(1, 2, 0), (2, 1, 0)]  # sent again: still once
     chunks.compact(spark, f"{root}/out", f"{root}/base")
     assert spark.read.parquet(f"{root}/base").count() == 2
+    assert send((2, "", "en", "s", 2)) == [(1, 2, 0)]  # emptied: its chunks are gone
 
 
 def test_partition_overwrite_touches_only_its_partitions(spark):
