@@ -56,29 +56,35 @@ def read(formatted: str) -> list[tuple[str, str]]:
 
 
 def climb(messages: DataFrame) -> DataFrame:
-    """Staged (id, parent, tree, depth, total): root, number of messages above, and the sum of scores down to each."""
+    """(id, parent, tree, depth, total) from staged rounds: root, number of messages above, sum of scores down to each.
+
+    A round moves only the messages that have not reached their root; each round finishes some, unless they lie in a cycle.
+    """
     known = messages.select(F.col("id").alias("known_id"))
     rows = messages.select("id", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("total"))
     rows = rows.join(known, F.col("parent") == F.col("known_id"), "left").select("id", F.col("known_id").alias("parent"), "total")
-    state = stage_table(rows.select("*", F.col("parent").alias("up"), F.coalesce("parent", "id").alias("tree"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth")), "climb")
-    open_rows, left = None, state.where("up IS NOT NULL").count()
-    while left and left != open_rows:
-        above = state.select(F.col("id").alias("up"), F.col("up").alias("far_up"), F.col("tree").alias("far_tree"), F.col("depth").alias("far_depth"), F.col("total").alias("far_total"))
-        joined = state.join(above, "up", "left")
-        open_rows = left
-        state = stage_table(
-            joined.select(
+    first = rows.select("*", F.col("parent").alias("up"), F.coalesce("parent", "id").alias("tree"), F.col("parent").isNotNull().cast("long").alias("depth"))
+    first = stage_table(first, "climb")
+    waiting, done = first.where("up IS NOT NULL"), first.where("up IS NULL")
+    before, left = None, waiting.count()
+    while left and left != before:
+        far = done.unionByName(waiting).select(
+            F.col("id").alias("up"), F.col("up").alias("far_up"), F.col("tree").alias("far_tree"), F.col("depth").alias("far_depth"), F.col("total").alias("far_total")
+        )
+        moved = stage_table(
+            waiting.join(far, "up").select(
                 "id",
                 "parent",
-                (F.col("total") + F.coalesce("far_total", F.lit(0.0))).alias("total"),
+                (F.col("total") + F.col("far_total")).alias("total"),
                 F.col("far_up").alias("up"),
-                F.coalesce("far_tree", "tree").alias("tree"),
-                (F.col("depth") + F.coalesce("far_depth", F.lit(0))).alias("depth"),
+                F.col("far_tree").alias("tree"),
+                (F.col("depth") + F.col("far_depth")).alias("depth"),
             ),
             "climb",
         )
-        left = state.where("up IS NOT NULL").count()
-    return state.where("up IS NULL").select("id", "parent", "tree", "depth", "total")
+        done, waiting = done.unionByName(moved.where("up IS NULL")), moved.where("up IS NOT NULL")
+        before, left = left, waiting.count()
+    return done.select("id", "parent", "tree", "depth", "total")
 
 
 def reply_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
