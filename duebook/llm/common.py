@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.session import workspace
@@ -33,6 +33,14 @@ def stage_table(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def few_rows(frame: DataFrame, bound: int) -> list[Row]:
+    """The rows of a small result. Fetches no more than ``bound`` and one row, and raises if there are more."""
+    rows = frame.take(bound + 1)
+    if len(rows) > bound:
+        raise ValueError(f"more than {bound} rows for the driver")
+    return rows
+
+
 def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; null counts as empty."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]

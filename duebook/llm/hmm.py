@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, slices, stage_table, texts
+from .common import crc_remainder, few_rows, slices, stage_table, texts
 
 STATES, ROUNDS, SEED = 6, 4, 11
 OWN_CLASSES, HASHED_CLASSES = 8_192, 1_024
@@ -99,21 +99,21 @@ def _class_of(word: bytes) -> int:
 
 def vocabulary(counts: DataFrame, ends: int) -> tuple[Vocabulary, DataFrame]:
     """The bounded part of a staged word count, and the rest of it as a table."""
-    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(LISTED_WORDS).collect()
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).take(LISTED_WORDS)
     least, listed = math.inf, 0
     for row in sizes:
         listed += row.words
         if listed > LISTED_WORDS:
             break
         least = row.n
-    listed = sorted(counts.where(F.col("n") >= least).collect() if sizes and least < math.inf else [], key=lambda r: (-r.n, r.word))
+    listed = sorted(few_rows(counts.where(F.col("n") >= least), LISTED_WORDS) if sizes and least < math.inf else [], key=lambda r: (-r.n, r.word))
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("words")).first()
     kept = [(r.word,) for r in listed]
     session = counts.sparkSession
     own = F.broadcast(session.createDataFrame(kept[:OWN_CLASSES], "word string"))
     rest = counts.join(own, "word", "left_anti").groupBy((F.crc32("word") % HASHED_CLASSES).alias("place"))
     class_tokens, class_words = np.zeros(HASHED_CLASSES, np.int64), np.zeros(HASHED_CLASSES, np.int64)
-    for r in rest.agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
+    for r in few_rows(rest.agg(F.sum("n").alias("n"), F.count("*").alias("words")), HASHED_CLASSES):
         class_tokens[r.place], class_words[r.place] = r.n, r.words
     unlisted = counts.join(F.broadcast(session.createDataFrame(kept, "word string")), "word", "left_anti")
     known = Vocabulary(
@@ -257,7 +257,7 @@ def baum_welch(encoded: DataFrame, rounds: int = ROUNDS, states: int = STATES) -
         names = [f"c{k}" for k in range(width)]
         parts = rows.mapInArrow(lambda b: counts(b, model), "place long, " + ", ".join(f"{n} double" for n in names))
         out = np.zeros((CLASSES + states + 2, width))
-        for r in parts.groupBy("place").agg(*[F.sum(n).alias(n) for n in names]).collect():
+        for r in few_rows(parts.groupBy("place").agg(*[F.sum(n).alias(n) for n in names]), len(out)):
             out[r.place] = r[1:]
         return out
 

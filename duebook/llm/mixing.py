@@ -27,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, slices, stage_table, texts
+from .common import few_rows, labelled_sample, slices, stage_table, texts
 
 BUCKETS = 32_768
 LABELLED_LIMIT = 20_000
+#: Domains at most; more raise an error, as their word counts would not fit the driver.
+MAX_DOMAINS = 256
 WINDOW = 64
 REMEMBERED_WORDS = 200_000
 #: Exponent that flattens the found shares into default targets.
@@ -87,7 +89,8 @@ def fit_classifier(documents: DataFrame, labels: DataFrame, domain: str = "lang"
             used = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(used), pa.string()), pa.array(used), pa.array(table[used])], ["domain", "bucket", "n"])
 
-    found = rows.mapInArrow(count, "domain string, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n")).collect()
+    counted = rows.mapInArrow(count, "domain string, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n"))
+    found = few_rows(counted, MAX_DOMAINS * BUCKETS)
     domains = sorted({r.domain for r in found}) or [""]
     counts = np.ones((BUCKETS, len(domains)))
     place = {name: i for i, name in enumerate(domains)}
@@ -149,7 +152,7 @@ def _sums(members: DataFrame, width: int, value) -> np.ndarray:
 
     parts = members.select("n_tokens", "membership").mapInArrow(add, "place long, total double")
     out = np.zeros(width)
-    for row in parts.groupBy("place").agg(F.sum("total").alias("total")).collect():
+    for row in few_rows(parts.groupBy("place").agg(F.sum("total").alias("total")), width):
         out[row.place] = row.total
     return out
 

@@ -27,11 +27,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage_table
+from .common import few_rows, stage_table
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("check", "gazetteer", "context", "against", "border")
 ROUNDS = 50
+#: Kinds x forms x votes.
+PATTERNS = len(KINDS) * 2 * 3 ** len(LABELERS)
 CUT = 0.5
 _LOCAL = "[A-Za-z0-9._%+-]"
 FORMS = {
@@ -212,8 +214,8 @@ def _features(kind: str, votes: str) -> list[str]:
 def learn(candidates: DataFrame) -> list[float] | None:
     """Intercept and weights of the span classifier; None without candidates."""
     rows = candidates.select(F.explode(F.expr("concat(transform(base, x -> struct(x.kind, true AS fixed, x.votes)), transform(loose, x -> struct(x.kind, false AS fixed, x.votes)))")).alias("x"))
-    counted = rows.groupBy("x.kind", "x.fixed", "x.votes").count().orderBy("kind", "fixed", "votes").collect()
-    patterns = [(r.kind, r.fixed, r.votes, r["count"]) for r in counted]
+    counted = few_rows(rows.groupBy("x.kind", "x.fixed", "x.votes").count(), PATTERNS)
+    patterns = sorted((r.kind, r.fixed, r.votes, r["count"]) for r in counted)
     if not patterns:
         return None
     table = []

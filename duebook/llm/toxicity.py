@@ -30,7 +30,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, labelled_sample, slices, stage_table, texts
+from .common import crc_remainder, few_rows, labelled_sample, slices, stage_table, texts
 
 LABELLED_LIMIT = 20_000
 LEXICON_SIZE, LEAST_DOCUMENTS, LEAST_ODDS = 400, 3, 0.8
@@ -92,14 +92,14 @@ def learn_lexicon(rows: DataFrame) -> frozenset[str]:
             [pa.array(words, pa.string()), pa.array([found[w][0] for w in words], pa.int64()), pa.array([found[w][1] for w in words], pa.int64())], ["word", "clean", "toxic"]
         )
 
-    sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    sizes = {r.toxic: r["count"] for r in few_rows(rows.groupBy("toxic").count(), 2)}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     counts = rows.mapInArrow(count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     odds = odds - 1.64 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     marked = counts.where(F.length("word") > 1).where(F.col("toxic") >= LEAST_DOCUMENTS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
     weight = F.col("odds") * F.sqrt("toxic")
-    return frozenset(r.word for r in marked.orderBy(weight.desc(), "word").limit(LEXICON_SIZE).select("word").collect())
+    return frozenset(r.word for r in marked.orderBy(weight.desc(), "word").select("word").take(LEXICON_SIZE))
 
 
 def with_features(rows: DataFrame, lexicon: frozenset[str]) -> DataFrame:
@@ -124,7 +124,7 @@ def score(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int =
     lexicon = learn_lexicon(staged.where("NOT calibrates").select("text", "toxic"))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     known = stage_table(with_features(staged, lexicon), "features")
-    classes = {(r.calibrates, r.toxic): r["count"] for r in known.groupBy("calibrates", "toxic").count().collect()}
+    classes = {(r.calibrates, r.toxic): r["count"] for r in few_rows(known.groupBy("calibrates", "toxic").count(), 4)}
     held_out = (crc_remainder("doc_id", modulus) == held).alias("held_out")
     wide = with_features(documents.select("doc_id", "text", held_out), lexicon)
     if not (classes.get((False, 0)) and classes.get((False, 1))):

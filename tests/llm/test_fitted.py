@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline
 from duebook.llm import chat, hmm, licences, mixing, pieces, pii, quality, simhash, toxicity
+from duebook.llm.common import few_rows
 from duebook.llm.queries import PIECE_MODEL, QUERIES
 
 
@@ -101,3 +102,10 @@ def test_pipeline_stages_take_effect(spark, folder):
     mixed = mix(spark, hidden, folder)
     assert mixed.columns == docs.columns and {r.doc_id for r in mixed.select("doc_id").collect()} == {r.component_id for r in groups}
     assert encode(spark, mixed, folder).count() == mixed.count()
+
+
+def test_the_driver_takes_no_more_rows_than_promised(spark):
+    rows = spark.range(0, 40, 1, 7)
+    assert sorted(r.id for r in few_rows(rows, 40)) == list(range(40)) and few_rows(rows.where("id < 0"), 0) == []
+    with pytest.raises(ValueError):
+        few_rows(rows, 39)
