@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from duebook.functions.text import missing_count, page_text, word_windows, words
 from duebook.operators.lookup import salted_lookup
 from duebook.operators.ordering import TIE_SLOTS, add_slots, cut_points, running_totals
+from duebook.session import stage
 
 # Chunk sizes, validation tolerances in percent, required fields, statement rates.
 CHUNK_WORDS, CHUNK_OVERLAP = 256, 25
@@ -202,11 +203,11 @@ def statement_totals(moves: DataFrame, scores: DataFrame) -> DataFrame:
 def top_terms(documents: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` heaviest terms per document by term count times ln(documents / documents with the term).
 
-    Both sides of the join come from the same shuffled counts. A common term is in most documents, so the join is
-    salted by document.
+    The texts are split once: both sides of the join read the staged counts. A common term is in most documents, so the
+    join is salted by document.
     """
     terms = F.explode(words(F.lower("text"))).alias("term")
-    tf = documents.select("doc_id", terms).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = stage(documents.select("doc_id", terms).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = documents.agg(F.count(F.lit(1)).cast("double")).scalar()
     weighted = salted_lookup(tf, df, "term", F.col("doc_id"))

@@ -260,12 +260,22 @@ def permutation_importance(df: DataFrame, features: Sequence[str], score, key: s
 
 
 def score_summary(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Mean, median and deviation of the score; the median counts distinct six-digit scores, a bounded set."""
-    return scored.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("score"), 6).alias("mean_score"),
-        F.round(F.percentile("score", F.lit(0.5)), 6).alias("median_score"),
-        F.round(F.stddev("score"), 6).alias("sd_score"),
+    """Mean, median and deviation of the score. Rows become counts and partial moments per distinct score first, at most
+    a million and one per group, so that no task holds more values than that for the median."""
+    counts = scored.groupBy(*by, "score").agg(F.count(F.lit(1)).alias("n"))
+    many, score = F.col("n"), F.col("score")
+    # the scores lie in [0, 1]: their sums lose no digit that shows in six
+    sums = [F.sum(many).alias("n"), F.sum(F.when(score.isNotNull(), many)).alias("known")]
+    sums += [F.sum(score * many).alias("total"), F.sum(score * score * many).alias("squares")]
+    found = counts.groupBy(*by).agg(*sums, F.percentile("score", F.lit(0.5), many).alias("median"))
+    mean = F.try_divide(F.col("total"), F.col("known"))
+    spread = F.greatest(F.col("squares") - F.col("total") * mean, F.lit(0.0))
+    return found.select(
+        *by,
+        "n",
+        F.round(mean, 6).alias("mean_score"),
+        F.round("median", 6).alias("median_score"),
+        F.round(F.sqrt(F.try_divide(spread, F.col("known") - 1)), 6).alias("sd_score"),
     )
 
 

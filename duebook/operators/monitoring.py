@@ -66,15 +66,13 @@ def metric_log(cases: DataFrame) -> DataFrame:
         F.count(F.when(score >= HIGH_SCORE, 1)).alias("n_high_risk"),
         F.count(F.when((score < HIGH_SCORE) & (score >= MEDIUM_SCORE), 1)).alias("n_medium_risk"),
         F.count(F.when(score < MEDIUM_SCORE, 1)).alias("n_low_risk"),
-        F.round(F.avg("score"), 6).alias("avg_score"),
-        # six-digit scores: at most a million and one distinct values per group
-        F.round(F.percentile("score", F.lit(0.5)), 6).alias("median_score"),
         F.round(F.avg("label"), 6).alias("actual_default_rate"),
         F.round(F.avg("predicted"), 6).alias("predicted_default_rate"),
     )
     metrics = evaluate.classification_metrics(scored, KEY).withColumnRenamed("n", "n_predictions")
     areas = evaluate.auc(scored, KEY)
-    log = metrics.join(areas, KEY).join(summary, KEY)
+    middle = evaluate.score_summary(scored, KEY).select(*KEY, F.col("mean_score").alias("avg_score"), "median_score")
+    log = metrics.join(areas, KEY).join(summary, KEY).join(middle, KEY)
     return log.withColumns(
         {
             "metric_id": F.concat_ws("_", "version", F.col("period").cast("string")),

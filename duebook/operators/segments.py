@@ -40,11 +40,15 @@ def silhouette(clustered: DataFrame) -> float:
 
 
 def name_clusters(clustered: DataFrame) -> DataFrame:
-    """Cluster numbers are arbitrary, so profiles follow the order of the clusters' mean overdue rate."""
+    """Cluster numbers are arbitrary, so profiles follow the order of the clusters' mean overdue rate.
+
+    With more clusters than names the best ones are "Premium", "Premium 2" and so on.
+    """
     means = clustered.groupBy("cluster").agg(F.avg("overdue_rate").alias("mean_overdue"))
     # one row per cluster
     place = F.row_number().over(Window.orderBy(F.desc("mean_overdue"), "cluster"))
     names = F.array(*[F.lit(p) for p in PROFILES])
     last = len(PROFILES)
-    named = means.withColumn("profile", F.element_at(names, F.least(place, F.lit(last))))
+    further = F.concat(F.lit(f"{PROFILES[-1]} "), place - last + 1)
+    named = means.withColumn("profile", F.when(place > last, further).otherwise(F.get(names, place - 1)))
     return clustered.join(F.broadcast(named.select("cluster", "profile")), "cluster")

@@ -83,15 +83,14 @@ def csv_rescue_split(book: Ledger) -> DataFrame:
 SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_events,
   CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total_value, count(*) FILTER (event_type = 'error') AS n_errors
 FROM events
-WHERE CAST(ts AS DATE) + 1 <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
 GROUP BY 1, 2
 """,
 )
 def stream_daily_metrics(book: Ledger) -> DataFrame:
+    """Every day of the events, the open one included."""
     root = workspace(book.spark, "metrics")
-    daily = metrics.daily_metrics(metrics.event_stream(book.spark, book.folder))
-    ingest.append_available(daily, f"{root}/daily", f"{root}/checkpoint")
-    return book.spark.read.parquet(f"{root}/daily")
+    metrics.upsert_daily_metrics(metrics.event_stream(book.spark, book.folder), f"{root}/daily", f"{root}/checkpoint")
+    return metrics.current_daily_metrics(book.spark, f"{root}/daily")
 
 
 @query("stream_scoring", "SELECT customer_id, score, predicted FROM scored", ("scored",))

@@ -1,4 +1,8 @@
-"""Daily volume and value per event type from the event stream."""
+"""Daily volume and value per event type from the event stream.
+
+``daily_metrics`` emits a day once, when it is closed. ``upsert_daily_metrics`` also shows the open days: every batch
+writes the new totals of the days it touched, and ``current_daily_metrics`` reads the last total of each day.
+"""
 
 from __future__ import annotations
 
@@ -25,3 +29,20 @@ def daily_metrics(events: DataFrame) -> DataFrame:
     )
     day = F.col("day.start").cast("date").alias("day")
     return sums.select(day, "event_type", "n_events", "total_value", "n_errors")
+
+
+def upsert_daily_metrics(events: DataFrame, target: str, checkpoint: str) -> None:
+    """Takes in what has arrived. A batch owns its folder, so a batch that is retried replaces itself."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    writer = daily_metrics(events).writeStream.foreachBatch(write).outputMode("update")
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def current_daily_metrics(spark: SparkSession, target: str) -> DataFrame:
+    """The last total of each day and event type, open days included."""
+    measures = F.struct("n_events", "total_value", "n_errors")
+    seen = spark.read.parquet(target).groupBy("day", "event_type")
+    return seen.agg(F.max_by(measures, "batch_id").alias("last")).select("day", "event_type", "last.*")

@@ -17,9 +17,11 @@ def score_requests(
     score: Callable[[DataFrame], DataFrame],
     target: str,
     checkpoint: str,
+    files_per_batch: int = 1000,
 ) -> None:
     """Reads request files as they arrive, scores each row and appends it.
 
     ``score`` is any row-wise transformation: the fixed scorecard or ``PipelineModel.transform`` of a saved model.
     """
-    append_available(score(spark.readStream.schema(schema).parquet(folder)), target, checkpoint)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    append_available(score(reader.parquet(folder)), target, checkpoint)

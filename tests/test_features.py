@@ -14,9 +14,9 @@ def days_ago(n):
 
 
 def test_recency_uses_the_newest_invoice(spark):
-    rows = [(1, days_ago(10)), (1, days_ago(40)), (2, days_ago(200))]
+    rows = [(5, days_ago(63)), (5, days_ago(17)), (5, days_ago(364)), (9, days_ago(0)), (11, days_ago(121))]
     df = spark.createDataFrame(rows, "customer_id int, issue_date date")
-    assert {r[0]: r[1] for r in features.recency(df, AS_OF).collect()} == {1: 10, 2: 200}
+    assert {r[0]: r[1] for r in features.recency(df, AS_OF).collect()} == {5: 17, 9: 0, 11: 121}
 
 
 def test_recency_score_bounds(spark):
@@ -27,7 +27,7 @@ def test_recency_score_bounds(spark):
 
 
 def test_recency_category(spark):
-    df = spark.createDataFrame([(10,), (45,), (75,), (150,)], "recency_days int")
+    df = spark.createDataFrame([(2,), (58,), (88,), (97,)], "recency_days int")
     got = [r["category"] for r in features.add_recency_score(df).orderBy("recency_days").collect()]
     assert got == ["Premium", "Premium", "Regular", "At risk"]
 

@@ -38,7 +38,10 @@ def test_query_equals_its_sql(name, spark, duck, folder):
     assert canonical(got) == canonical(want)
 
 
-@pytest.mark.parametrize("name", ["knn_lsh_recall", "kmeans_profiles", "gbt_default_metrics"])
+FITTED = "kmeans_profiles kmeans_quality kmeans_profile_stats gbt_default_scores gbt_default_metrics feature_importance gbt_value_at_risk"
+
+
+@pytest.mark.parametrize("name", ["knn_lsh_recall", *FITTED.split()])
 def test_query_without_sql_runs(name, spark, folder):
     rows = QUERIES[name](spark, folder).collect()
     assert rows

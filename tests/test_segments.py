@@ -9,8 +9,8 @@ SCHEMA = "customer_id int, " + ", ".join(f"{f} double" for f in FEATURES)
 
 
 def test_far_groups_have_a_high_silhouette(spark):
-    rows = [(i, 10000.0, 20.0, 0.95, 0.02, 5.0, 5.0) for i in range(10)]
-    rows += [(i, 100.0, 1.0, 0.10, 0.90, 300.0, 1.0) for i in range(10, 20)]
+    rows = [(i, 7300.0 + 11 * i, 31.0, 0.88, 0.05, 12.0 + i % 3, 5.0) for i in range(10)]
+    rows += [(i, 240.0 + 3 * i, 2.0, 0.21, 0.77, 410.0 + i % 4, 1.0) for i in range(10, 24)]
     _, clustered = segments.fit(segments.scale(spark.createDataFrame(rows, SCHEMA), FEATURES), k=2)
     assert segments.silhouette(clustered) > 0.7
     profiles = {r["customer_id"]: r["profile"] for r in segments.name_clusters(clustered).collect()}
@@ -18,16 +18,22 @@ def test_far_groups_have_a_high_silhouette(spark):
 
 
 def test_alike_rows_have_a_low_silhouette(spark):
-    rng = random.Random(7)
+    rng = random.Random(19)
     rows = [
-        (i, 5000 + rng.uniform(-50, 50), 10 + rng.uniform(-1, 1), 0.5 + rng.uniform(-0.02, 0.02),
-         0.5 + rng.uniform(-0.02, 0.02), 100 + rng.uniform(-5, 5), 3.0)
-        for i in range(20)
-    ]
+        (i, rng.gauss(2100, 30), rng.gauss(17, 1.5), rng.gauss(0.4, 0.03), rng.gauss(0.3, 0.03), rng.gauss(66, 4), 4.0)
+        for i in range(36)
+    ]
     _, clustered = segments.fit(segments.scale(spark.createDataFrame(rows, SCHEMA), FEATURES), k=2)
     assert segments.silhouette(clustered) < 0.5
 
 
+def test_clusters_beyond_the_list_have_names_of_their_own(spark):
+    rows = [(i, i, i / 10) for i in range(6)]
+    named = segments.name_clusters(spark.createDataFrame(rows, "customer_id int, cluster int, overdue_rate double"))
+    want = ["Premium 3", "Premium 2", "Premium", "Low risk", "Medium risk", "High risk"]
+    assert [r["profile"] for r in named.orderBy("cluster").collect()] == want
+
+
 def test_nulls_become_zero_and_ids_stay_in_range(spark):
     rows = [(0, *[None] * 6), (1, 1.0, 2.0, 3.0, 4.0, 5.0, 1.0)] + [(i, *[float(i * j) for j in range(1, 7)]) for i in range(2, 20)]
     scaled = segments.scale(spark.createDataFrame(rows, SCHEMA), FEATURES)

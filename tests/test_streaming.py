@@ -51,6 +51,23 @@ def test_closed_days_equal_the_batch_result_and_late_rows_are_dropped(spark):
     assert run() == {first, ((day + dt.timedelta(days=1)).date(), 1, 1)}
 
 
+def test_open_days_are_shown_and_replaced_by_later_totals(spark):
+    root = workspace(spark, "test")
+    day = dt.datetime(2024, 3, 1)
+    schema = "ts timestamp, event_type string, value double"
+
+    def run(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/events")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/events")
+        metrics.upsert_daily_metrics(stream, f"{root}/daily", f"{root}/cp")
+        current = metrics.current_daily_metrics(spark, f"{root}/daily").collect()
+        return {(r["day"].day, r["event_type"], r["n_events"], r["total_value"]) for r in current}
+
+    assert run((day, "click", 1.0), (day + dt.timedelta(days=1), "click", 2.0)) == {(1, "click", 1, 1.0), (2, "click", 1, 2.0)}
+    later = run((day + dt.timedelta(days=1, hours=1), "click", 3.0), (day + dt.timedelta(days=1, hours=2), "error", 4.0))
+    assert later == {(1, "click", 1, 1.0), (2, "click", 2, 5.0), (2, "error", 1, 4.0)}
+
+
 def test_a_new_version_replaces_all_chunks_of_a_document(spark):
     root = workspace(spark, "test")
     schema = "doc_id bigint, text string, lang string, source string, version int"
