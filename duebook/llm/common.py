@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds few rows and, but for one long text, few bytes of ``column``."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         start = 0
         while start < batch.num_rows:

@@ -245,3 +245,13 @@ def test_pieces_equal_the_library_and_round_trip(spark, folder):
     assert [i for i, t in enumerate(texts) if not rows[i].round_trip] == [texts.index("▁a ▁▁ b")]
     back = {r.doc_id: r.text for r in pieces.decode(encoded, PIECE_MODEL).collect()}
     assert all(back[i] == t for i, t in enumerate(texts) if "▁" not in t)
+
+
+def test_words_in_runs_equal_words_alone(monkeypatch):
+    encoder = pieces.Encoder(open(PIECE_MODEL, "rb").read(), 1)
+    monkeypatch.setattr(pieces, "REMEMBERED_WORDS", 40)
+    texts = ["  ".join(f"w{i * j}é\x00" for j in range(30)) + f" x{i}\n漢 same words again" for i in range(12)]
+    for text in [*texts, *texts]:
+        ids, back, same = encoder.encode([text])
+        assert ids[0].tolist() == encoder.library.encode(text) and back == [True] and same == [True]
+    assert len(encoder.place) < 120
