@@ -6,7 +6,7 @@ ever emitted. Few queries are broadcast; many are laid out in a grid of query bl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,7 +18,8 @@ from duebook.session import stage
 
 MAX_BROADCAST_QUERIES = 4096
 GRID_QUERIES, GRID_CORPUS = 2048, 65536
-RULE = "-" * 80
+RULE = "* * *"
+NO_TEXT = "(no text)"
 HITS = "query_id string, vec_id bigint, distance double"
 ARROW_HITS = pa.schema([("query_id", pa.string()), ("vec_id", pa.int64()), ("distance", pa.float64())])
 
@@ -32,7 +33,8 @@ def distances(corpus: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarra
     else:
         norms = np.linalg.norm(corpus, axis=1)[:, None] * np.linalg.norm(queries, axis=1)[None, :]
         d = 1.0 - np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
-    return np.round(d, 6)
+    # a rounded minus zero becomes zero
+    return np.round(d, 6) + 0.0
 
 
 def keep_best(ids: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,17 +122,18 @@ def nearest(
     corpus: DataFrame,
     k: int,
     metric: str = "l2",
-    match: bool = False,
+    match: Sequence[str] = (),
     max_broadcast: int = MAX_BROADCAST_QUERIES,
     block: tuple[int, int] = (GRID_QUERIES, GRID_CORPUS),
 ) -> DataFrame:
     """The exact ``k`` nearest corpus rows per query: ``(query_id, place, vec_id, distance)``.
 
-    ``queries(query_id, vector)`` and ``corpus(vec_id, vector)``; with ``match`` both have a text column ``match`` and
-    only equal values are compared (the metadata filter).
+    ``queries(query_id, vector)`` and ``corpus(vec_id, vector)``; ``match`` names columns of both, and only rows with
+    the same text in all of them are compared (the metadata filter). A missing value matches missing values only.
+    Other conditions on the corpus are a ``where`` on it.
     """
-    if not match:
-        queries, corpus = (df.withColumn("match", F.lit("")) for df in (queries, corpus))
+    key = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in match])) if match else F.lit("")
+    queries, corpus = (df.withColumn("match", key) for df in (queries, corpus))
     queries = stage(queries.select("query_id", "vector", "match"))
     corpus = corpus.select("vec_id", "vector", "match").filter(F.col("vector").isNotNull())
     max_broadcast = min(max_broadcast, MAX_BROADCAST_QUERIES)
@@ -158,17 +161,11 @@ def centroids(vectors: DataFrame, by: str) -> DataFrame:
 
 
 def context_blocks(hits: DataFrame, documents: DataFrame) -> DataFrame:
-    """One text per query: its documents in order of place, with a rule between them."""
-    found = documents.select(F.col("doc_id").alias("vec_id"), "lang", "source", "text").join(hits, "vec_id")
-    block = F.concat_ws(
-        "\n",
-        F.concat(F.lit("[DOCUMENT "), F.col("place").cast("string"), F.lit("]")),
-        F.concat(F.lit("ID: "), F.col("vec_id").cast("string")),
-        F.concat(F.lit("Type: "), "source"),
-        F.concat(F.lit("Language: "), "lang"),
-        F.lit("Content:"),
-        F.col("text"),
-    )
+    """One text per query: its documents in order of place, with a rule between them; a hit keeps its place without one."""
+    named = documents.select(F.col("doc_id").alias("vec_id"), "lang", "source", "text")
+    found = hits.join(named, "vec_id", "left")
+    number, name = F.concat(F.lit("#"), F.col("place").cast("string")), F.concat(F.lit("document "), F.col("vec_id").cast("string"))
+    block = F.concat_ws("\n", F.concat_ws(" | ", number, name, "source", "lang"), F.coalesce("text", F.lit(NO_TEXT)))
     # k documents per query
     listed = found.select("query_id", "place", block.alias("block")).groupBy("query_id").agg(
         F.array_sort(F.collect_list(F.struct("place", "block"))).alias("blocks")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from duebook.functions.text import PAGE_RULES, WHITE_SPACE
 from duebook.operators import documents as docs
-from duebook.operators import vectors
+from duebook.operators import textvectors, vectors
 from duebook.operators.silver import payments_by_invoice
 from duebook.session import stage
 from duebook.sources.ledger import Ledger
@@ -286,7 +286,7 @@ def group_queries(book: Ledger) -> DataFrame:
 
 def same_label_hits(book: Ledger) -> DataFrame:
     queries = label_queries(book).withColumn("match", F.col("query_id"))
-    return vectors.nearest(queries, corpus_of(book), 5, "cosine", match=True)
+    return vectors.nearest(queries, corpus_of(book), 5, "cosine", match=["match"])
 
 
 @query(
@@ -313,10 +313,9 @@ def knn_batch(book: Ledger) -> DataFrame:
     "rag_context",
     """
 SELECT query_id, CAST(count(*) AS INTEGER) AS n_documents,
-  string_agg('[DOCUMENT ' || CAST(place AS VARCHAR) || ']' || chr(10) || 'ID: ' || CAST(vec_id AS VARCHAR) || chr(10)
-    || 'Type: ' || source || chr(10) || 'Language: ' || lang || chr(10) || 'Content:' || chr(10) || text,
-    chr(10) || repeat('-', 80) || chr(10) ORDER BY place) AS context
-FROM same_label JOIN documents ON doc_id = vec_id GROUP BY query_id
+  string_agg(concat_ws(chr(10), concat_ws(' | ', '#' || CAST(place AS VARCHAR), 'document ' || CAST(vec_id AS VARCHAR), source, lang),
+    coalesce(text, '(no text)')), chr(10) || '* * *' || chr(10) ORDER BY place) AS context
+FROM same_label LEFT JOIN documents ON doc_id = vec_id GROUP BY query_id
 """,
     ("same_label",),
 )
@@ -324,6 +323,89 @@ def rag_context(book: Ledger) -> DataFrame:
     return vectors.context_blocks(same_label_hits(book), book.table("documents"))
 
 
+@query(
+    "knn_multi_filter",
+    nearest_sql(
+        "group_centroids", 3, "cosine", "q.query_id = CAST(c.label AS VARCHAR) || '-' || (SELECT lang FROM documents WHERE doc_id = c.vec_id)"
+    ),
+    ("group_centroids",),
+)
+def knn_multi_filter(book: Ledger) -> DataFrame:
+    """Neighbours of the same label and language."""
+    languages = book.table("documents").select(F.col("doc_id").alias("vec_id"), "lang")
+    corpus = book.table("embeddings").join(languages, "vec_id").select("vec_id", F.col("embedding").alias("vector"), "label", "lang")
+    parts = F.split("query_id", "-", 2)
+    queries = group_queries(book).withColumns({"label": parts[0], "lang": parts[1]})
+    return vectors.nearest(queries, corpus, 3, "cosine", match=["label", "lang"])
+
+
+def bucket_sql(texts: str) -> str:
+    """Bucket counts of (key, word) rows."""
+    number = f"CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % {textvectors.BUCKETS}"
+    return f"SELECT key, {number} AS bucket, count(*) AS tf FROM ({texts}) GROUP BY 1, 2"
+
+
+view(
+    "chunk_buckets",
+    bucket_sql(
+        f"SELECT doc_id * {textvectors.CHUNKS_PER_DOCUMENT} + i AS key, unnest(list_transform(words[i * 231 + 1 : i * 231 + 256], lambda w: lower(w))) AS word"
+        " FROM (SELECT *, unnest(range(0, (len(words) + 230) // 231)) AS i FROM doc_words)"
+    ),
+    "doc_words",
+)
+view(
+    "rarity",
+    "SELECT bucket, ln(((SELECT count(DISTINCT key) FROM chunk_buckets) + 1) * 1.0E0 / (count(*) + 1)) AS idf FROM chunk_buckets GROUP BY bucket",
+    "chunk_buckets",
+)
+UNIT_SQL = """
+SELECT key, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY key)) AS weight
+FROM (SELECT key, b.bucket, tf * idf AS w FROM {} b JOIN rarity r ON r.bucket = b.bucket) WHERE w > 0
+"""
+view("chunk_units", UNIT_SQL.format("chunk_buckets"), "chunk_buckets", "rarity")
+view(
+    "question_buckets",
+    bucket_sql(f"SELECT item_id AS key, unnest(list_filter(regexp_split_to_array(lower(text), '{WHITE_SPACE}'), lambda w: w <> '')) AS word FROM benchmark"),
+)
+view("question_units", UNIT_SQL.format("question_buckets"), "question_buckets", "rarity")
+
+
+def counted_chunks(book: Ledger) -> DataFrame:
+    chunks = textvectors.chunk_keys(docs.chunks(book.table("documents")))
+    return stage(textvectors.hashed_counts(chunks, "chunk_text").drop("chunk_text"))
+
+
+@query("chunk_vectors", "SELECT key AS vec_id, CAST(bucket AS INTEGER) AS bucket, round(weight, 6) AS weight FROM chunk_units WHERE round(weight, 6) > 0", ("chunk_units",))
+def chunk_vectors(book: Ledger) -> DataFrame:
+    """The vectors of all chunks, one row per bucket that counts."""
+    counted = counted_chunks(book)
+    found = textvectors.unit_vectors(counted, textvectors.fit_rarity(counted))
+    rows = found.select("vec_id", F.posexplode("vector").alias("bucket", "weight"))
+    return rows.withColumn("weight", F.round("weight", 6)).where("weight > 0")
+
+
+@query(
+    "text_search",
+    """
+SELECT query_id, CAST(place AS INTEGER) AS place, vec_id, distance
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS place
+  FROM (SELECT CAST(q.item_id AS VARCHAR) AS query_id, c.key AS vec_id, round(greatest(1.0E0 - coalesce(dot, 0), 0), 6) AS distance
+    FROM benchmark q CROSS JOIN (SELECT DISTINCT key FROM chunk_buckets) c
+    LEFT JOIN (SELECT a.key AS item_id, b.key, sum(a.weight * b.weight) AS dot
+      FROM question_units a JOIN chunk_units b ON a.bucket = b.bucket GROUP BY 1, 2) d ON d.item_id = q.item_id AND d.key = c.key))
+WHERE place <= 3
+""",
+    ("chunk_buckets", "question_units", "chunk_units"),
+)
+def text_search(book: Ledger) -> DataFrame:
+    """The three chunks nearest to each benchmark passage, by the cosine of their text vectors."""
+    counted = counted_chunks(book)
+    rarity = textvectors.fit_rarity(counted)
+    asked = book.table("benchmark").select(F.col("item_id").cast("string").alias("query_id"), "text")
+    questions = textvectors.unit_vectors(textvectors.hashed_counts(asked, "text").drop("text"), rarity)
+    return vectors.nearest(questions, textvectors.unit_vectors(counted, rarity), 3, "cosine")
+
+
 @query("knn_lsh_recall")
 def knn_lsh_recall(book: Ledger) -> DataFrame:
     corpus, queries = corpus_of(book), stage(group_queries(book))

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from duebook.functions.text import page_text, words
-from duebook.operators import documents, lookup, vectors
+from duebook.operators import documents, lookup, textvectors, vectors
 
 
 def chunk_reference(text, size, overlap):
@@ -99,7 +99,7 @@ def test_nearest_by_brute_force_on_both_routes(spark):
 def test_metadata_filter_limits_the_hits(spark):
     c = spark.createDataFrame([(1, [1.0, 0.0], "a"), (2, [1.0, 0.1], "b"), (3, [0.0, 1.0], "b")], "vec_id bigint, vector array<double>, match string")
     q = spark.createDataFrame([("q", [1.0, 0.0], "b")], "query_id string, vector array<double>, match string")
-    got = vectors.nearest(q, c, 5, "cosine", match=True).orderBy("place").collect()
+    got = vectors.nearest(q, c, 5, "cosine", match=["match"]).orderBy("place").collect()
     assert [r["vec_id"] for r in got] == [2, 3]
 
 
@@ -111,6 +111,28 @@ def test_context_has_the_rule_between_documents(spark):
     assert first.endswith("two") and second.endswith("one") and row["n_documents"] == 2
 
 
+def test_filter_on_several_columns_and_missing_values(spark):
+    kinds = "vec_id bigint, vector array<double>, lang string, year int"
+    c = spark.createDataFrame([(1, [1.0], "en", 1), (2, [1.0], "en", 2), (3, [1.0], None, 1), (4, [1.0], "de", 1)], kinds)
+    q = spark.createDataFrame([("a", [1.0], "en", 1), ("b", [1.0], None, 1)], "query_id string, vector array<double>, lang string, year int")
+    got = vectors.nearest(q, c, 5, "cosine", match=["lang", "year"]).collect()
+    assert sorted((r["query_id"], r["vec_id"]) for r in got) == [("a", 1), ("b", 3)]
+
+
+def test_hit_without_a_document_keeps_its_place(spark):
+    docs = spark.createDataFrame([(1, "en", "s", "one")], "doc_id bigint, lang string, source string, text string")
+    hits = spark.createDataFrame([("q", 1, 9, 0.1), ("q", 2, 1, 0.2)], "query_id string, place int, vec_id bigint, distance double")
+    row = vectors.context_blocks(hits, docs).first()
+    assert row["n_documents"] == 2 and row["context"].startswith(f"#1 | document 9\n{vectors.NO_TEXT}\n")
+
+
+def test_text_vectors_have_length_one(spark):
+    rows = spark.createDataFrame([(1, "a b b"), (2, "A c"), (3, ""), (4, None)], "id bigint, text string")
+    counted = textvectors.hashed_counts(rows, "text")
+    found = {r["id"]: np.array(r["vector"]) for r in textvectors.unit_vectors(counted, textvectors.fit_rarity(counted)).collect()}
+    assert [round(float(found[i] @ found[i]), 9) for i in (1, 2, 3, 4)] == [1, 1, 0, 0] and found[1] @ found[2] > 0
+
+
 def test_no_query_is_lost_whatever_the_broadcast_bound(spark):
     queries = spark.range(4_200).selectExpr("cast(id AS string) AS query_id", "array(cast(id % 7 AS double), 1.0D) AS vector")
     corpus = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(7)], "vec_id bigint, vector array<double>")
