@@ -68,8 +68,9 @@ class BestHits:
 
     def rows(self) -> pd.DataFrame:
         names = np.broadcast_to(self.names[None, :], self.ids.shape)
-        flat = pd.DataFrame({"query_id": names.ravel(), "vec_id": self.ids.ravel(), "distance": self.found.ravel()})
-        return flat[np.isfinite(flat["distance"])]
+        kept = np.isfinite(self.found)
+        # plain objects: pandas would make the names an Arrow column, in chunks that a group result may not have
+        return pd.DataFrame({"query_id": pd.Series(names[kept], dtype=object), "vec_id": self.ids[kept], "distance": self.found[kept]})
 
 
 def _broadcast_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
@@ -108,7 +109,7 @@ def _grid_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str, block
 
     def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "distance": []})
+            return pd.DataFrame({"query_id": pd.Series([], dtype=object), "vec_id": np.zeros(0, "int64"), "distance": np.zeros(0)})
         best = BestHits(q, k, metric)
         best.add(c["vec_id"].to_numpy(), np.stack(c["vector"].to_numpy()), c["match"].to_numpy())
         return best.rows()
@@ -174,6 +175,60 @@ def context_blocks(hits: DataFrame, documents: DataFrame) -> DataFrame:
     return listed.select("query_id", F.size("blocks").alias("n_documents"), text.alias("context"))
 
 
+def cell_search(queries: DataFrame, corpus: DataFrame, k: int, cells: int, probes: int, block: int = GRID_CORPUS) -> tuple[DataFrame, DataFrame]:
+    """Approximate nearest rows by squared distance: each query meets only the ``probes`` cells whose centres are nearest.
+
+    Cells are k-means clusters of the whole corpus; a large cell is cut into blocks of about ``block`` rows. Gives the
+    hits ``(query_id, place, vec_id, distance)`` and ``(query_id, n_candidates)``, the rows each query was compared with.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    rows = corpus.select("vec_id", F.col("vector").cast("array<double>").alias("vector")).where("vector IS NOT NULL")
+    dense = rows.withColumn("dense", array_to_vector("vector"))
+    model = KMeans(k=cells, seed=42, maxIter=10, featuresCol="dense", predictionCol="cell").fit(dense)
+    placed = stage(model.transform(dense).select("vec_id", "vector", "cell"))
+    # one row per cell
+    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
+    sizes = F.broadcast(sizes.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")))
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in centre]) for centre in model.clusterCenters()])
+    far = F.transform(
+        "centres",
+        lambda c, i: F.struct(F.aggregate(F.zip_with("vector", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x).alias("d"), i.alias("cell")),
+    )
+    asked = queries.select("query_id", "vector", centres.alias("centres"))
+    near = F.slice(F.array_sort(far), 1, probes)
+    routed = stage(asked.select("query_id", "vector", F.explode(near).alias("near")).select("query_id", "vector", F.col("near.cell").alias("cell")).join(sizes, "cell"))
+    left = routed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = placed.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+
+    def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or c.empty:
+            return pd.DataFrame({"query_id": pd.Series([], dtype=object), "vec_id": np.zeros(0, "int64"), "distance": np.zeros(0)})
+        best = BestHits(q.assign(match=""), k, "l2")
+        best.add(c["vec_id"].to_numpy(), np.stack(c["vector"].to_numpy()), np.full(len(c), "", object))
+        return best.rows()
+
+    keys = ["cell", "part"]
+    left, right = left.select(*keys, "query_id", "vector"), right.select(*keys, "vec_id", "vector")
+    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, HITS)
+    order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
+    best = hits.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    candidates = routed.groupBy("query_id").agg(F.sum("size").alias("n_candidates"))
+    return best.select("query_id", "place", "vec_id", "distance"), candidates
+
+
+def cell_recall(queries: DataFrame, corpus: DataFrame, exact: DataFrame, k: int, cells: int, probes: int) -> DataFrame:
+    """Per query: exact neighbours, those that the cells find, and how many rows were compared of how many."""
+    hits, candidates = cell_search(queries, corpus, k, cells, probes)
+    matched = exact.join(hits.select("query_id", "vec_id", F.lit(1).alias("found")), ["query_id", "vec_id"], "left")
+    counts = matched.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_exact"), F.count("found").alias("n_found"))
+    whole = corpus.where("vector IS NOT NULL").agg(F.count(F.lit(1))).scalar()
+    return counts.join(candidates, "query_id").select(
+        "*", whole.alias("n_vectors"), F.round(F.col("n_found") / F.col("n_exact"), 4).alias("recall")
+    )
+
+
 def lsh_recall(vectors: DataFrame, queries: DataFrame, exact: DataFrame, k: int, threshold: float) -> DataFrame:
     """Share of the exact neighbours that random-projection hashing finds, per query."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH

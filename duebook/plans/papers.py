@@ -406,6 +406,14 @@ def text_search(book: Ledger) -> DataFrame:
     return vectors.nearest(questions, textvectors.unit_vectors(counted, rarity), 3, "cosine")
 
 
+@query("knn_cell_recall")
+def knn_cell_recall(book: Ledger) -> DataFrame:
+    """Search in 3 of 32 cells: recall beside the share of rows compared."""
+    corpus, queries = corpus_of(book).select("vec_id", "vector"), stage(group_queries(book))
+    exact = vectors.nearest(queries, corpus, 3)
+    return vectors.cell_recall(queries, corpus, exact, 3, cells=32, probes=3)
+
+
 @query("knn_lsh_recall")
 def knn_lsh_recall(book: Ledger) -> DataFrame:
     corpus, queries = corpus_of(book), stage(group_queries(book))

@@ -126,6 +126,20 @@ def test_hit_without_a_document_keeps_its_place(spark):
     assert row["n_documents"] == 2 and row["context"].startswith(f"#1 | document 9\n{vectors.NO_TEXT}\n")
 
 
+def test_cells_prune_clustered_vectors_and_keep_their_neighbours(spark):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(scale=10, size=(12, 6))
+    corpus = [(i, (centres[i % 12] + rng.normal(size=6)).tolist()) for i in range(360)]
+    queries = [(f"q{i}", (centres[i] + rng.normal(size=6)).tolist()) for i in range(12)]
+    c = spark.createDataFrame(corpus, "vec_id bigint, vector array<double>")
+    q = spark.createDataFrame(queries, "query_id string, vector array<double>")
+    rows = vectors.cell_recall(q, c, vectors.nearest(q, c, 3), 3, cells=12, probes=2).collect()
+    assert len(rows) == 12 and sum(r["n_found"] for r in rows) >= 0.9 * sum(r["n_exact"] for r in rows)
+    assert sum(r["n_candidates"] for r in rows) <= 0.2 * sum(r["n_vectors"] for r in rows)
+    whole, _ = vectors.cell_search(q, c, 3, cells=4, probes=4, block=50)
+    assert sorted((r["query_id"], r["place"], r["vec_id"]) for r in whole.collect()) == neighbours(queries, corpus, 3)
+
+
 def test_text_vectors_have_length_one(spark):
     rows = spark.createDataFrame([(1, "a b b"), (2, "A c"), (3, ""), (4, None)], "id bigint, text string")
     counted = textvectors.hashed_counts(rows, "text")

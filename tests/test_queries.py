@@ -41,7 +41,7 @@ def test_query_equals_its_sql(name, spark, duck, folder):
 FITTED = "kmeans_profiles kmeans_quality kmeans_profile_stats gbt_default_scores gbt_default_metrics feature_importance gbt_value_at_risk"
 
 
-@pytest.mark.parametrize("name", ["knn_lsh_recall", *FITTED.split()])
+@pytest.mark.parametrize("name", ["knn_cell_recall", "knn_lsh_recall", *FITTED.split()])
 def test_query_without_sql_runs(name, spark, folder):
     rows = QUERIES[name](spark, folder).collect()
     assert rows
