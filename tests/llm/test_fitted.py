@@ -29,6 +29,16 @@ def test_odd_documents(spark, odd_documents, labels):
     assert kept.columns == odd_documents.columns and sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == [1, 4, 5, 6]
 
 
+def test_keep_one_keeps_a_row_of_each_component(spark):
+    words = [f"{a} {b} and some words of its own number {i}" for i, (a, b) in enumerate(zip("abcdefgh", "stuvwxyz", strict=True))]
+    rows = [(None, w, 0) for w in words[:5]] + [(None, words[0], 0), (7, words[5], 0), (7, words[6], 0), (3, words[6], 0), (9, words[7], 0), (2, "", 0), (2, None, 0), (2, None, 0)]
+    rows += [(8, "one  more", 0), (8, "one more", 0), (8, "One more", 0), (None, words[7], 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, key_of_row int")
+    kept = simhash.keep_one(frame)
+    want = [(None, w, 0) for w in words[:5]] + [(7, words[5], 0), (3, words[6], 0), (9, words[7], 0), (2, None, 0), (8, "One more", 0)]
+    assert kept.columns == frame.columns and sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_empty_tables(spark, odd_documents, labels):
     none, no_labels = odd_documents.where("false"), labels.where("false")
     members, _, plan = mixing.mix(none, no_labels)
