@@ -63,7 +63,7 @@ RULES = (
 )
 CUTS = r"\n+|[.;:?!]+(?=[ \t\r\n]|$)"
 #: Strings of which every known sentence has one; only sentences with one are normalised.
-SIGNS = "(?i)licen|permission|redistribut|warrant|rights|neither the name|free software|gnu general"
+SIGNS = "(?i)licen|permission|redistribut|warrant|rights|neither|unless|free software|gnu general"
 
 
 def _normal(sentence: str) -> str:

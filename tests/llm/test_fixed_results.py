@@ -56,6 +56,26 @@ def test_licence_rules_match_sequences(spark):
     assert row[1].licences == [] and row[1].n_sentences == 0
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+    http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS."""
+UNSIGNED = "Unless required by applicable law or agreed to in writing, software is given as it is. Neither - the name of X"
+
+
+def test_licence_scan_passes_over_no_known_sentence(spark):
+    texts = [*(text for text, _ in licences.SENTENCES), APACHE, UNSIGNED, *(f"// {text.replace(' ', '  ').upper()}" for text, _ in licences.SENTENCES)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licences.scan(frame).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    for doc_id, n_sentences, *names in con.sql(ORACLES["op2_licence_rules"]).fetchall():
+        r = found[doc_id]
+        assert (r.n_sentences, *(",".join(x) for x in (r.sequence, r.licences, r.unmatched))) == (n_sentences, *names)
+    known = len(licences.SENTENCES)
+    assert found[known].licences == ["Apache-2.0"] and found[known].unmatched == [] and found[known + 1].sequence == ["Apache2AsIs", "BsdName"]
+
+
 def brute_prints(texts):
     out = {}
     for key, text in texts.items():
