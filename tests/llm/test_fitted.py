@@ -67,6 +67,19 @@ def test_quality_rejects_junk(spark):
     assert len(clear) > 100 and all(found[i].kept == (i < 120) for i in clear)
 
 
+@pytest.mark.parametrize("odd", [0, 1])
+def test_quality_learns_from_ids_of_one_parity(spark, odd):
+    chance = np.random.default_rng(2)
+    good = [" ".join(chance.choice(["the", "of", "house", "tree", "runs", "old", "river", "with"], 80)) for _ in range(60)]
+    junk = [" ".join(w + "&&&" for w in chance.choice(["tree", "runs", "old", "zz"], 80)) for _ in range(60)]
+    docs = spark.createDataFrame([(2 * i + odd, t) for i, t in enumerate(good + junk)], "doc_id long, text string")
+    marks = spark.createDataFrame([(2 * i + odd, int(i < 60)) for i in range(120)], "doc_id long, quality int")
+    ratios, threshold = quality.fit(docs, marks)
+    clear = quality.report(docs, ratios, threshold).where("NOT base_failed").collect()
+    assert np.isfinite(threshold) and {r.doc_id < 120 for r in clear} == {True, False}
+    assert all(r.kept == (r.doc_id < 120) for r in clear)
+
+
 def test_rates_meet_targets(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     marks = spark.read.parquet(f"{folder}/labels.parquet")
