@@ -71,7 +71,7 @@ def test_quality_rejects_junk(spark):
 def test_quality_learns_from_ids_of_one_parity(spark, odd):
     chance = np.random.default_rng(2)
     good = [" ".join(chance.choice(["the", "of", "house", "tree", "runs", "old", "river", "with"], 80)) for _ in range(60)]
-    junk = [" ".join(w + "&&&" for w in chance.choice(["tree", "runs", "old", "zz"], 80)) for _ in range(60)]
+    junk = [" ".join(w + "&&&" for w in chance.choice(["tree", "runs", "old", "zz", "a", "b", "c", "d"], 80)) for _ in range(60)]
     docs = spark.createDataFrame([(2 * i + odd, t) for i, t in enumerate(good + junk)], "doc_id long, text string")
     marks = spark.createDataFrame([(2 * i + odd, int(i < 60)) for i in range(120)], "doc_id long, quality int")
     ratios, threshold = quality.fit(docs, marks)
