@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, hmm, licences, mixing, neighbours, pieces, pii, quality, simhash, toxicity
+from . import chat, filter_audit, hmm, licences, middle, mixing, neighbours, pieces, pii, quality, simhash, toxicity
 from .common import stage_table, table
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -160,3 +160,75 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(table(spark, folder, "documents", "doc_id", "text"), PIECE_MODEL)
+
+
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents", "doc_id", "text", "source")
+    return filter_audit.audit(documents, table(spark, folder, "labels", "doc_id", "quality", "toxic"))
+
+
+ORACLES["op11_filter_audit"] = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), firsts AS (SELECT t, min(doc_id) AS first_id FROM docs GROUP BY t),
+marks AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+    SELECT part, (len(words) < 200)::INT
+        + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+        + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+        + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(doc_id > first_id, false)::INT AS mask,
+        coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic
+    FROM docs JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)
+), cells AS (
+    SELECT part, mask, count(*) AS docs, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM masks GROUP BY part, mask
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), prefixes AS (
+    SELECT '' AS prefix, 0 AS step, 0 AS before, 0 AS bit
+    UNION ALL SELECT prefix || letter, step + 1, before | p.bit, l.bit FROM prefixes p JOIN letters l ON (before | p.bit) & l.bit = 0
+), steps AS (
+    SELECT part, prefix, step, right(prefix, 1) AS letter,
+        coalesce(sum(docs) FILTER (mask & (before | bit) = 0), 0) AS kept,
+        coalesce(sum(docs) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS removed,
+        coalesce(sum(docs) FILTER (mask & before > 0 AND mask & bit > 0), 0) AS redundant,
+        coalesce(sum(docs) FILTER (mask = bit), 0) AS unique_fails,
+        coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS good_lost,
+        coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS toxic_lost
+    FROM prefixes, cells WHERE step > 0 GROUP BY part, prefix, step, before, bit
+), rows AS (
+    SELECT s.*, o.prefix AS filter_order FROM prefixes o JOIN steps s ON o.step = 5 AND starts_with(o.prefix, s.prefix)
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+    unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM rows
+"""
+
+
+@query
+def op13_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return middle.digests(middle.cut_pieces(table(spark, folder, "documents", "doc_id", "text")))
+
+
+ORACLES["op13_middle"] = """
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+        list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), i, 8) AS BIGINT)) AS h
+    FROM documents
+), formed AS (
+    SELECT doc_id, t, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+             WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM hashed
+), parts AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM formed)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+    CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+"""
