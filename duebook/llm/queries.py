@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, filter_audit, hmm, licences, middle, mixing, neighbours, pieces, pii, quality, simhash, toxicity
+from . import chat, filter_audit, hmm, licences, middle, minhash, mixing, neighbours, pieces, pii, quality, simhash, toxicity
 from .common import stage_table, table
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -208,6 +208,33 @@ FROM rows
 """
 
 
+@query
+def op12_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
+
+
+ORACLES["op12_minhash"] = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles
+    FROM docs
+), sizes AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM sets
+), items AS (SELECT doc_id, unnest(shingles) AS shingle FROM sets
+), pairs AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT u, v FROM pairs p JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), reach AS (
+    SELECT doc_id AS u, doc_id AS v FROM sizes UNION SELECT r.u, l.v FROM reach r JOIN links l ON l.u = r.v
+), named AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN named USING (doc_id)
+"""
+
+
 @query
 def op13_middle(spark: SparkSession, folder: str) -> DataFrame:
     return middle.digests(middle.cut_pieces(table(spark, folder, "documents", "doc_id", "text")))
