@@ -1,18 +1,19 @@
 """Near-duplicates by bottom-k sketches from one hash function.
 
-A document's set holds the hashes of its distinct three-word shingles; its sketch is the smallest ``SKETCH`` of them (the
-whole set, where that is smaller). Documents of equal sets are one node, so thousands of copies cost one row. Two nodes
-link if the Jaccard similarity of their sets reaches ``PERCENT``.
+A document's set holds the hashes of its distinct three-word shingles; a sketch is the smallest k of them (the whole
+set, where that is smaller). Documents of equal sets are one node, so thousands of copies cost one row. Two nodes link if
+the Jaccard similarity of their sets reaches ``PERCENT``.
 
 1. Inverted lists over the smallest ``RETAINED`` values alone count, for each node, how many of them any other node
    holds. Similar nodes share most of them, so a node that shares too few is left out at once; most texts go here.
-2. The others list their whole sketch, rarest value first. Two sketches that overlap enough share a value among their
-   first few, so only that prefix gets inverted lists. Values of passages that many texts hold come last in the order.
+2. The sets of the others are built once more and kept. Their ``LISTED`` smallest values are ordered by rarity. Two
+   sketches that overlap enough share a value among their first few, so only that prefix gets inverted lists. Values of
+   passages that many texts hold come last in the order.
 3. In each list every node is paired with the one whose rare values run out first (the plainest copy). Verified links
    join nodes to components. Lists that still touch several components then pair the nodes of different components,
    in blocks; sizes and places in the prefix leave out pairs whose overlap cannot suffice.
-4. For each pair the sketch of the union estimates the similarity; where a sketch is not the whole set, an estimate
-   within five standard deviations of the threshold passes. Whole sets then decide each link exactly.
+4. For each pair the sketch of the union (``SKETCH`` values) estimates the similarity; where a sketch is not the whole
+   set, an estimate within five standard deviations of the threshold passes. Whole sets then decide each link exactly.
 
 The overlaps that 1 and 2 ask for lie five standard deviations below what similar sets share (exact bounds where the
 sketches are whole sets), so a link at the very threshold is missed about once in a million.
@@ -39,7 +40,7 @@ from .components import components
 PERCENT = 85
 SEED = 42
 WORDS = 3
-SKETCH, RETAINED = 256, 32
+RETAINED, LISTED, SKETCH = 32, 1_024, 256
 DEVIATIONS = 5.0
 #: Nodes of one block of an inverted list.
 BLOCK = 4_096
@@ -73,7 +74,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], size: int, words: int) -> Itera
         yield pa.RecordBatch.from_arrays([*map(batch.column, names), nodes, sizes, _lists([s[:size] for s in sets])], [*names, "node", "n", "sketch"])
 
 
-def sketches(documents: DataFrame, size: int = SKETCH, words: int = WORDS) -> DataFrame:
+def sketches(documents: DataFrame, size: int = RETAINED, words: int = WORDS) -> DataFrame:
     """(doc_id, node, n, sketch) of every row: ``node`` names the set, null if it is empty."""
     schema = "doc_id long, node binary, n long, sketch array<long>"
     return documents.select("doc_id", "text").mapInArrow(lambda b: _sketches(b, size, words), schema)
@@ -109,7 +110,7 @@ def inverted(nodes: DataFrame, percent: int, size: int) -> DataFrame:
     ``held`` values make the sketch, of which any similar node shares ``needed``; ``place`` counts the rarer ones.
     """
     _, needed = least_overlap(percent, size)
-    values = nodes.select("node", "n", F.explode("sketch").alias("value"))
+    values = nodes.select("node", "n", F.explode(F.slice("whole", 1, size)).alias("value"))
     owners = values.groupBy("value").agg(F.count("*").alias("owners")).where("owners > 1")
     known = values.join(owners, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("owners", "value"))).alias("known"))
     held = F.least(F.col("n"), F.lit(size)).cast("int")
@@ -155,55 +156,49 @@ def _similar(both: Column, n_u: Column, n_v: Column, percent: int) -> Column:
     return both * 100 >= (n_u + n_v - both) * percent
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, percent: int, size: int, words: int) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs that link: the union's sketch sifts them, whole sets decide."""
-    u = nodes.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u"))
-    v = nodes.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v"))
+    sides = [nodes.select("node", "n", "sketch").toDF(end, f"n_{end}", f"s_{end}") for end in "uv"]
     both = F.array_intersect("s_u", "s_v")
-    # The sketch of the union is the smallest of both sketches together; it counts as far as it is full.
+    # The smallest values of both sketches together are the sketch of the union.
     union = F.slice(F.array_sort(F.array_union("s_u", "s_v")), 1, size)
     whole = F.greatest("n_u", "n_v") <= size
     exact = _similar(F.size(both), F.col("n_u"), F.col("n_v"), percent)
     share, spread = percent / 100, DEVIATIONS * math.sqrt(percent * (100 - percent) / size) / 100
-    hits = F.size(F.array_intersect(union, both))
-    estimate = hits >= F.floor((share - spread) * F.least(F.size(union), F.lit(size)))
-    sifted = stage_table(pairs.join(u, "u").join(v, "v").where(F.when(whole, exact).otherwise(estimate)).select("u", "v", "n_u", "n_v", whole.alias("whole")), "sifted")
-    sure = sifted.where("whole").select("u", "v")
-    long_pairs = sifted.where("NOT whole")
-    if long_pairs.isEmpty():
-        return sure
-    wanted = stage_table(long_pairs.select(F.col("u").alias("node")).union(long_pairs.select("v")).distinct(), "wanted")
-    ids = nodes.join(wanted, "node").select("doc_id").distinct()
-    texts_of = documents.select("doc_id", "text").join(ids, documents["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    sets = sketches(texts_of, (1 << 31) - 1, words).join(wanted, "node", "left_semi").dropDuplicates(["node"]).select("node", F.col("sketch").alias("set"))
-    sets = stage_table(sets, "sets")
-    joined = long_pairs.join(sets.toDF("u", "set_u"), "u").join(sets.toDF("v", "set_v"), "v")
-    kept = _similar(F.size(F.array_intersect("set_u", "set_v")), F.col("n_u"), F.col("n_v"), percent)
-    return sure.union(joined.where(kept).select("u", "v"))
-
-
-def node_links(documents: DataFrame, rows: DataFrame, percent: int, size: int, retained: int, words: int, block: int = BLOCK) -> DataFrame:
-    """(node, root) of every node that links with another."""
-    keys = rows.where("node IS NOT NULL").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"))
-    few = rows.where("node IS NOT NULL").select("node", "n", F.slice("sketch", 1, retained).alias("sketch")).dropDuplicates(["node"])
-    chosen = stage_table(promising(few, percent, retained), "promising")
-    nodes = rows.join(chosen, "node").select("node", "n", "sketch").dropDuplicates(["node"])
-    nodes = stage_table(nodes.join(keys.select("node", "doc_id"), "node"), "nodes")
-    lists = stage_table(inverted(nodes, percent, size), "lists")
-    edges = stage_table(verified(plain_pairs(lists, percent, size), nodes, documents, percent, size, words), "links")
+    estimate = F.size(F.array_intersect(union, both)) >= math.floor((share - spread) * size)
+    joined = pairs.join(sides[0], "u").join(sides[1], "v")
+    sifted = stage_table(joined.where(F.when(whole, exact).otherwise(estimate)).select("u", "v", "n_u", "n_v", whole.alias("whole")), "sifted")
+    sets = [nodes.where(F.col("n") > size * percent // 100).select("node", "whole").toDF(end, f"set_{end}") for end in "uv"]
+    long_pairs = sifted.where("NOT whole").join(sets[0], "u").join(sets[1], "v")
+    long_pairs = long_pairs.where(_similar(F.size(F.array_intersect("set_u", "set_v")), F.col("n_u"), F.col("n_v"), percent))
+    return sifted.where("whole").select("u", "v").union(long_pairs.select("u", "v"))
+
+
+def whole_sets(documents: DataFrame, nodes: DataFrame, size: int, words: int) -> DataFrame:
+    """(node, n, sketch, whole) of ``nodes`` (node, doc_id), from the texts of one row each."""
+    ids = nodes.select("doc_id").distinct()
+    rows = documents.select("doc_id", "text").join(ids, documents["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    sets = sketches(rows, (1 << 31) - 1, words).join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return sets.select("node", "n", F.slice("sketch", 1, size).alias("sketch"), F.col("sketch").alias("whole"))
+
+
+def node_links(documents: DataFrame, rows: DataFrame, percent: int, words: int, block: int) -> DataFrame:
+    """(node, root) of every node that links with another; ``rows`` are the documents' sketches of ``RETAINED`` values."""
+    known = rows.where("node IS NOT NULL").groupBy("node", "n", "sketch").agg(F.min("doc_id").alias("doc_id"))
+    known = stage_table(known, "known")
+    chosen = stage_table(known.join(promising(known, percent, RETAINED), "node").select("node", "doc_id"), "promising")
+    nodes = stage_table(whole_sets(documents, chosen, SKETCH, words), "nodes")
+    lists = stage_table(inverted(nodes, percent, LISTED), "lists")
+    edges = stage_table(verified(plain_pairs(lists, percent, LISTED), nodes, percent, SKETCH), "links")
     roots = components(edges)
-    more = stage_table(verified(open_pairs(lists, roots, percent, size, block), nodes, documents, percent, size, words), "links")
-    if more.isEmpty():
-        return roots
-    return components(edges.union(more))
+    more = stage_table(verified(open_pairs(lists, roots, percent, LISTED, block), nodes, percent, SKETCH), "links")
+    return roots if more.isEmpty() else components(edges.union(more))
 
 
-def near_duplicates(
-    documents: DataFrame, percent: int = PERCENT, size: int = SKETCH, retained: int = RETAINED, words: int = WORDS, block: int = BLOCK
-) -> DataFrame:
+def near_duplicates(documents: DataFrame, percent: int = PERCENT, words: int = WORDS, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; component_id is the smallest doc_id of the component."""
-    rows = stage_table(sketches(documents, size, words), "sketches")
-    roots = node_links(documents, rows, percent, size, retained, words, block)
+    rows = stage_table(sketches(documents, RETAINED, words), "sketches")
+    roots = node_links(documents, rows, percent, words, block)
     ids = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("smallest"))
     tied = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = tied.groupBy("root").agg(F.min("smallest").alias("component_id"))

@@ -131,7 +131,7 @@ def test_minhash_at_the_threshold_and_with_a_null_id(spark):
 
 def test_minhash_needs_no_more_than_similar_sets_share(spark):
     sizes = spark.range(1, 5_000).withColumnRenamed("id", "n")
-    for kept in (32, 256):
+    for kept in (minhash.RETAINED, minhash.LISTED):
         whole, needed = minhash.least_overlap(85, kept)
         for r in sizes.select("n", needed.alias("needed")).collect():
             assert 1 <= r.needed <= min(r.n, whole) and (r.n > kept or r.needed <= -(-85 * r.n // 100))
