@@ -135,6 +135,59 @@ def ks(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return o.groupBy(*by).agg(F.round(F.max(gap), 6).alias("ks"))
 
 
+def score_report(scored: DataFrame, by: Sequence[str], bands: Sequence[float] = (), cut: float = 0.5) -> DataFrame:
+    """Every figure of a score from one table of counts: confusion cells at ``cut``, AUC, KS, average precision, mean and
+    median, rates, and ``band_0``… with the rows below the first edge, between the edges, and from the last one on."""
+    o = ordered_counts(scored, by)
+    pos, neg, score = F.col("pos"), F.col("neg"), F.col("score")
+    all_pos, all_neg, rows = F.col("all_pos"), F.col("all_neg"), F.col("all_pos") + F.col("all_neg")
+    above = {c: F.col(f"all_{c}") - F.col(f"upto_{c}") + F.col(c) for c in ("pos", "neg")}
+    gap = F.abs(safe_ratio(F.col("upto_pos"), all_pos) - safe_ratio(F.col("upto_neg"), all_neg))
+    step = safe_ratio(pos, all_pos) * safe_ratio(above["pos"], above["pos"] + above["neg"])
+    upto = F.col("upto_pos") + F.col("upto_neg")
+    zero = F.lit(0).cast("bigint")
+
+    def total(count: Column, when: Column) -> Column:
+        return F.sum(F.when(when, count).otherwise(zero))
+
+    edges = [float("-inf"), *bands, float("inf")]
+    found = o.groupBy(*by).agg(
+        total(pos, score >= cut).alias("tp"),
+        total(neg, score >= cut).alias("fp"),
+        total(pos, score < cut).alias("fn"),
+        total(neg, score < cut).alias("tn"),
+        F.sum(pos * (F.col("upto_neg") - neg + neg / 2.0)).alias("area"),
+        F.max(gap).alias("gap"),
+        F.sum(step).alias("steps"),
+        F.sum(score * (pos + neg)).alias("scores"),
+        F.min(F.when(upto * 2 >= rows, score)).alias("low_middle"),
+        F.min(F.when(upto * 2 > rows, score)).alias("high_middle"),
+        *[
+            total(pos + neg, (score >= low) & (score < high)).alias(f"band_{i}")
+            for i, (low, high) in enumerate(zip(edges, edges[1:]))
+        ],
+    )
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    n = tp + fp + fn + tn
+    weighted = safe_ratio((tp + fn) * f1_of(tp, fp, fn) + (tn + fp) * f1_of(tn, fn, fp), n)
+    figures = {
+        "accuracy": safe_ratio(tp + tn, n),
+        "precision": safe_ratio(tp, tp + fp),
+        "recall": safe_ratio(tp, tp + fn),
+        "f1": f1_of(tp, fp, fn),
+        "f1_weighted": weighted,
+        "auc": safe_ratio(F.col("area"), (tp + fn).cast("double") * (tn + fp).cast("double")),
+        "ks": F.col("gap"),
+        "average_precision": F.col("steps"),
+        "mean_score": safe_ratio(F.col("scores"), n),
+        "median_score": (F.col("low_middle") + F.col("high_middle")) / 2,
+        "positive_rate": safe_ratio(tp + fn, n),
+        "predicted_rate": safe_ratio(tp + fp, n),
+    }
+    kept = [f"band_{i}" for i in range(len(edges) - 1)]
+    return found.select(*by, n.alias("n"), *[F.round(c, 6).alias(name) for name, c in figures.items()], *kept)
+
+
 def threshold_sweep(scored: DataFrame) -> DataFrame:
     """F1 at each threshold and whether it is the best (lowest threshold on ties).
 

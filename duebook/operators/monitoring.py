@@ -60,20 +60,16 @@ def yearly_cases(invoices: DataFrame) -> DataFrame:
 
 def metric_log(cases: DataFrame) -> DataFrame:
     """Production metrics per version and period from true labels, with three score bands."""
-    scored = score_variants(cases)
-    score = F.col("score")
-    summary = scored.groupBy(*KEY).agg(
-        F.count(F.when(score >= HIGH_SCORE, 1)).alias("n_high_risk"),
-        F.count(F.when((score < HIGH_SCORE) & (score >= MEDIUM_SCORE), 1)).alias("n_medium_risk"),
-        F.count(F.when(score < MEDIUM_SCORE, 1)).alias("n_low_risk"),
-        F.round(F.avg("label"), 6).alias("actual_default_rate"),
-        F.round(F.avg("predicted"), 6).alias("predicted_default_rate"),
-    )
-    metrics = evaluate.classification_metrics(scored, KEY).withColumnRenamed("n", "n_predictions")
-    areas = evaluate.auc(scored, KEY)
-    middle = evaluate.score_summary(scored, KEY).select(*KEY, F.col("mean_score").alias("avg_score"), "median_score")
-    log = metrics.join(areas, KEY).join(summary, KEY).join(middle, KEY)
-    return log.withColumns(
+    return scored_metrics(score_variants(cases))
+
+
+def scored_metrics(scored: DataFrame) -> DataFrame:
+    """The metric log of scored and labelled rows: one table of counts per version, period and score gives every figure."""
+    report = evaluate.score_report(scored, KEY, (MEDIUM_SCORE, HIGH_SCORE))
+    bands = {"n_low_risk": "band_0", "n_medium_risk": "band_1", "n_high_risk": "band_2"}
+    names = {"n_predictions": "n", "avg_score": "mean_score", "actual_default_rate": "positive_rate"}
+    names |= {"predicted_default_rate": "predicted_rate", **bands}
+    return report.withColumnsRenamed({old: new for new, old in names.items()}).withColumns(
         {
             "metric_id": F.concat_ws("_", "version", F.col("period").cast("string")),
             "period_start": F.make_date(F.col("period"), F.lit(1), F.lit(1)),

@@ -324,9 +324,8 @@ def model_comparison(book: Ledger) -> DataFrame:
     from pyspark.sql import Window
 
     rows = scorecard.score_variants(point_in_time_of(book))
-    by = ["version"]
-    table = evaluate.classification_metrics(rows, by)
-    for more in (evaluate.auc(rows, by), evaluate.ks(rows, by), evaluate.average_precision(rows, by).drop("n_points")):
-        table = table.join(more, by)
+    table = evaluate.score_report(rows, ["version"])
+    names = ["version", "n", "accuracy", "precision", "recall", "f1", "f1_weighted", "auc", "ks", "average_precision"]
     # one row per version
-    return table.withColumn("place", F.row_number().over(Window.orderBy(F.desc("auc"), "version")))
+    place = F.row_number().over(Window.orderBy(F.desc("auc"), "version"))
+    return table.select(*names, place.alias("place"))
