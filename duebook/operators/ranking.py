@@ -26,8 +26,8 @@ AGEING_LABELS = ("0-30", "31-60", "61-90", "90+")
 HIGH_PROBABILITY = 0.6
 
 
-def score_customers(invoices: DataFrame, as_of: dt.date) -> DataFrame:
-    """Default probability per customer from all invoices known at ``as_of``, with recency category and true label."""
+def customer_facts(invoices: DataFrame, as_of: dt.date) -> DataFrame:
+    """Model inputs per customer from all invoices known at ``as_of``, with recency category and true label."""
     known = invoices.filter(F.col("issue_date") <= F.lit(as_of))
     overdue = F.count(F.when(F.col("status") == OVERDUE, 1))
     grouped = known.groupBy("customer_id").agg(
@@ -36,7 +36,7 @@ def score_customers(invoices: DataFrame, as_of: dt.date) -> DataFrame:
         F.sum("amount").cast("double").alias("known_amount"),
         F.datediff(F.lit(as_of), F.max("issue_date")).alias("recency_days"),
     )
-    shaped = add_recency_score(grouped).select(
+    return add_recency_score(grouped).select(
         "customer_id",
         "category",
         (F.col("n_overdue") / F.col("n_known")).alias("overdue_share"),
@@ -44,7 +44,11 @@ def score_customers(invoices: DataFrame, as_of: dt.date) -> DataFrame:
         "n_known",
         overdue_label(F.col("n_known"), F.col("n_overdue")).alias("label"),
     )
-    scored = add_score(shaped)
+
+
+def score_customers(invoices: DataFrame, as_of: dt.date) -> DataFrame:
+    """Default probability per customer by the fixed formula."""
+    scored = add_score(customer_facts(invoices, as_of))
     return scored.select("customer_id", "category", F.col("score").alias("probability"), "predicted", "label")
 
 

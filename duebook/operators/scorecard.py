@@ -8,6 +8,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,16 @@ def variant_score(variant: str = DEFAULT_VARIANT, share="overdue_share", mean_am
     return logistic_score(VARIANTS[variant], F.col(share), F.col(mean_amount), F.col(count))
 
 
+def variant_model(variant: str) -> PipelineModel:
+    """The formula as a fitted pipeline, which saves, loads and transforms like any trained one."""
+    a, b_share, b_amount, b_count = (f"{w!r}D" for w in VARIANTS[variant])
+    linear = f"{a} + {b_share} * overdue_share + {b_amount} * (mean_amount / 100000.0D) + {b_count} * (n_known / 10.0D)"
+    score = f"round(1.0D / (1.0D + exp(-({linear}))), 6)"
+    flag = "CAST(score >= 0.5D AS INT) AS predicted"
+    steps = [f"SELECT *, {score} AS score FROM __THIS__", f"SELECT *, {flag} FROM __THIS__"]
+    return PipelineModel([SQLTransformer(statement=step) for step in steps])
+
+
 def scoring_features(invoices: DataFrame, *by: str, when: Column | None = None) -> DataFrame:
     """Overdue share, mean amount and count per customer (and ``by``) over the invoices for which ``when`` holds."""
     when = F.lit(True) if when is None else when

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 
 LONG, INT, DOUBLE, TEXT, DATE = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.DateType()
+MOMENT = T.TimestampType()
 MONEY, FINE_MONEY = T.DecimalType(18, 2), T.DecimalType(18, 4)
 
 
@@ -115,6 +116,82 @@ EXPERIMENTS = table(
     significant=INT,
 )
 
+# Tables that grow run by run; who and when come from the run, never from the clock.
+AUTHORED = {"created_at": MOMENT, "created_by": TEXT}
+PREDICTION_ROWS = table(
+    keys=("customer_id",),
+    customer_id=LONG,
+    category=TEXT,
+    probability=DOUBLE,
+    predicted=INT,
+    label=INT,
+    version_id=TEXT,
+    **AUTHORED,
+)
+METRIC_ROWS = table(
+    keys=("metric_id",),
+    metric_id=TEXT,
+    timestamp=MOMENT,
+    version_id=TEXT,
+    period_type=TEXT,
+    period_start=DATE,
+    period_end=DATE,
+    accuracy=DOUBLE,
+    precision=DOUBLE,
+    recall=DOUBLE,
+    f1=DOUBLE,
+    auc=DOUBLE,
+    n_predictions=LONG,
+    n_high_risk=LONG,
+    n_medium_risk=LONG,
+    n_low_risk=LONG,
+    avg_score=DOUBLE,
+    median_score=DOUBLE,
+    actual_default_rate=DOUBLE,
+    predicted_default_rate=DOUBLE,
+    **AUTHORED,
+)
+ALERT_ROWS = table(
+    keys=("alert_id",),
+    alert_id=TEXT,
+    timestamp=MOMENT,
+    alert_type=TEXT,
+    severity=TEXT,
+    metric_name=TEXT,
+    current_value=DOUBLE,
+    threshold_value=DOUBLE,
+    deviation=DOUBLE,
+    version=TEXT,
+    period_start=DATE,
+    period_end=DATE,
+    message=TEXT,
+    status=TEXT,
+    resolved_at=MOMENT,
+    resolved_by=TEXT,
+    **AUTHORED,
+)
+VERSION_ROWS = table(
+    keys=("version_id",),
+    version_id=TEXT,
+    version_number=INT,
+    model=TEXT,
+    variant=TEXT,
+    trained_at=MOMENT,
+    data_start=DATE,
+    data_end=DATE,
+    n_training=LONG,
+    auc=DOUBLE,
+    f1=DOUBLE,
+    precision=DOUBLE,
+    recall=DOUBLE,
+    model_path=TEXT,
+    status=TEXT,
+    deployed_at=MOMENT,
+    retired_at=MOMENT,
+    notes=TEXT,
+    **AUTHORED,
+)
+
 
 def conform(df: DataFrame, target: T.StructType) -> DataFrame:
     """The columns of ``target``, cast; a column that ``df`` lacks is NULL, one that ``target`` lacks is an error."""
