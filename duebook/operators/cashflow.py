@@ -6,7 +6,7 @@ and every segment is fitted in the same job from exact sums.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -146,12 +146,15 @@ def forecast(points: DataFrame, by: Sequence[str], weeks: int = HORIZON_WEEKS) -
     spread = with_errors(points, fit, by).groupBy(*by).agg(
         F.sqrt(F.try_divide(F.sum(F.col("error") * F.col("error")), F.greatest(F.max("n") - 3, F.lit(1.0)))).alias("sd")
     )
-    ahead = fit.join(spread, list(by)).select(
-        "*", F.explode(F.sequence(F.lit(7), F.lit(7 * weeks), F.lit(7))).alias("days_ahead")
-    )
+    return project(fit.join(spread, list(by)), by, weeks, predicted)
+
+
+def project(fit: DataFrame, by: Sequence[str], weeks: int, value: Callable[[Column, Column], Column]) -> DataFrame:
+    """The Mondays after ``last_week`` along ``value`` of week number and special-week flag, give or take ``sd``."""
+    ahead = fit.select("*", F.explode(F.sequence(F.lit(7), F.lit(7 * weeks), F.lit(7))).alias("days_ahead"))
     week = F.date_add(F.col("last_week"), F.col("days_ahead"))
     t = (F.datediff(week, F.lit(FIRST_MONDAY).cast("date")) / 7).cast("int")
-    point = predicted(t, special_week(week))
+    point = value(t, special_week(week))
     return ahead.select(
         *by,
         week.alias("week"),
@@ -174,8 +177,8 @@ def forecast_windows(ahead: DataFrame) -> DataFrame:
     )
 
 
-def backtest(points: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Fits the first part of each series and measures the rest; short series get no error figures.
+def holdout(points: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds the place ``i`` in the series and ``n_train``, the size of its training part.
 
     The training part is 80 %, raised so that the test part has at most 13 weeks, lowered so that it has at least 4.
     """
@@ -186,7 +189,12 @@ def backtest(points: DataFrame, by: Sequence[str]) -> DataFrame:
     )
     share = F.floor(F.col("size") * 8 / 10)
     n_train = F.least(F.greatest(share, F.col("size") - HORIZON_WEEKS), F.col("size") - SPARE_HOLDOUT)
-    parts = numbered.withColumn("n_train", n_train.cast("bigint"))
+    return numbered.withColumn("n_train", n_train.cast("bigint"))
+
+
+def backtest(points: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Fits the first part of each series and measures the rest; short series get no error figures."""
+    parts = holdout(points, by)
     fit = fit_trend(parts.filter(F.col("i") <= F.col("n_train")), by)
     held = with_errors(parts.filter(F.col("i") > F.col("n_train")), fit, by)
     tested = held.groupBy(*by).agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duebook.operators import cashflow
+from duebook.operators import cashflow, changepoints
 from duebook.session import stage
 from duebook.sources.ledger import Ledger
 
@@ -212,3 +212,76 @@ FROM (SELECT count(*) AS n_segments, CAST(sum(n) AS BIGINT) AS n_points, strftim
 def model_card(book: Ledger) -> DataFrame:
     points = points_of(book)
     return cashflow.model_card(points, cashflow.forecast(points, SEGMENT), SEGMENT)
+
+
+def changes_sql(points: str) -> str:
+    """The best fit per segment among all sets of candidates for a change."""
+    count = changepoints.CANDIDATES
+    sums = ", ".join(f"CAST(sum({product}) AS DOUBLE) AS {name}" for name, product in changepoints.normal_sums().items())
+    solved = f"""
+SELECT nation, sector, i, j, k1, k2, first_t, last_week, CAST(count(*) AS DOUBLE) AS n, {sums}
+FROM (SELECT *, CASE WHEN i > 0 THEN greatest(u - k1, 0.0E0) ELSE 0.0E0 END AS h1,
+    CASE WHEN j > 0 THEN greatest(u - k2, 0.0E0) ELSE 0.0E0 END AS h2
+  FROM (SELECT p.nation, p.sector, p.i, p.j, first_t, last_week, CAST(t - first_t AS DOUBLE) AS u,
+      CAST(special AS DOUBLE) AS e, CAST(y AS DOUBLE) AS y,
+      CAST({changepoints.place("p.i")} AS INTEGER) AS k1, CAST({changepoints.place("p.j")} AS INTEGER) AS k2
+    FROM (SELECT p.* EXCLUDE (i), e.i, e.j, first_t, last_week, span FROM (SELECT *, 0 AS i FROM {points}) p
+      JOIN (SELECT nation, sector, min(t) AS first_t, max(week) AS last_week, max(t) - min(t) AS span, a.i, b.j
+        FROM {points}, range(0, {count + 1}) a(i), range(0, {count + 1}) b(j) WHERE b.j = 0 OR (a.i > 0 AND b.j > a.i)
+        GROUP BY nation, sector, a.i, b.j) e ON e.nation = p.nation AND e.sector = p.sector) p))
+GROUP BY nation, sector, i, j, k1, k2, first_t, last_week
+"""
+    for layer in changepoints.elimination():
+        solved = f"SELECT *, {', '.join(f'{expr} AS {name}' for name, expr in layer.items())} FROM ({solved})"
+    return f"""
+SELECT * FROM (SELECT *, (i > 0)::INTEGER + (j > 0)::INTEGER AS knots FROM ({solved}))
+WHERE knots = 0 OR n > 4 + 2 * knots
+QUALIFY row_number() OVER (PARTITION BY nation, sector ORDER BY {changepoints.criterion()}, knots, i, j) = 1
+"""
+
+
+def bent_sql(t: str, special: str) -> str:
+    bends = " + ".join(f"b_h{n} * greatest(CAST({t} - first_t AS DOUBLE) - k{n}, 0.0E0)" for n in (1, 2))
+    return f"level + b_u * CAST({t} - first_t AS DOUBLE) + b_e * {special} + {bends}"
+
+
+view("change_fits", changes_sql("points"), "points")
+view("train_change_fits", changes_sql("(SELECT * EXCLUDE (i) FROM train_points)"), "train_points")
+
+
+@query(
+    "forecast_changepoints",
+    f"""
+SELECT *, CASE WHEN forecast <= 0 THEN 'Critical' WHEN forecast <= 350000 THEN 'Attention'
+    WHEN forecast <= 700000 THEN 'Normal' ELSE 'Excellent' END AS cash_band,
+  CASE WHEN days_ahead <= 30 THEN '0-30 days' WHEN days_ahead <= 60 THEN '31-60 days' ELSE '61-90 days' END AS horizon
+FROM (SELECT nation, sector, week, round(point, 2) AS forecast, round(point - 1.2816E0 * sd, 2) AS lower,
+    round(point + 1.2816E0 * sd, 2) AS upper, days_ahead
+  FROM (SELECT *, {bent_sql("(date_diff('day', DATE '1970-01-05', week) // 7)", "CAST((month(week) = 11 AND day(week) >= 20) OR (month(week) = 12 AND day(week) >= 15) AS INTEGER)")} AS point
+    FROM (SELECT *, sqrt(sse / greatest(n - 3 - 2 * knots, 1)) AS sd, CAST(h * 7 AS INTEGER) AS days_ahead,
+        last_week + CAST(h * 7 AS INTEGER) AS week FROM change_fits, range(1, 14) r(h))))
+""",
+    ("change_fits",),
+)
+def forecast_changepoints(book: Ledger) -> DataFrame:
+    return changepoints.forecast(points_of(book), SEGMENT)
+
+
+@query(
+    "forecast_change_backtest",
+    f"""
+SELECT b.nation, b.sector, b.n_train, b.n_holdout,
+  CASE WHEN b.n_train >= 10 AND b.n_holdout >= 3 THEN round(b.mae, 2) END AS mae_bent,
+  CASE WHEN b.n_train >= 10 AND b.n_holdout >= 3 THEN round(s.mae, 2) END AS mae_straight
+FROM (SELECT p.nation, p.sector, max(p.n_train) AS n_train, count(*) AS n_holdout,
+    avg(abs(CAST(y AS DOUBLE) - ({bent_sql("t", "special")}))) AS mae
+  FROM numbered p JOIN train_change_fits f ON f.nation = p.nation AND f.sector = p.sector WHERE p.i > p.n_train
+  GROUP BY p.nation, p.sector) b
+JOIN (SELECT p.nation, p.sector, avg(abs({ERRORS})) AS mae FROM numbered p
+    JOIN train_fits f ON f.nation = p.nation AND f.sector = p.sector WHERE p.i > p.n_train
+  GROUP BY p.nation, p.sector) s ON s.nation = b.nation AND s.sector = b.sector
+""",
+    ("numbered", "train_change_fits", "train_fits"),
+)
+def forecast_change_backtest(book: Ledger) -> DataFrame:
+    return changepoints.backtest(points_of(book), SEGMENT)
