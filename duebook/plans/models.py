@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duebook.operators import evaluate, learning, segments
+from duebook.operators import evaluate, learning, search, segments
 from duebook.operators.features import add_recency_score
 from duebook.operators.scorecard import FEATURES
 from duebook.session import stage
 from duebook.sources.ledger import Ledger
 
+from .common_sql import view
 from .evaluation import point_in_time_of
 from .foundation import features_of
 from .indicators import values_of
@@ -111,8 +112,35 @@ def gbt_value_at_risk(book: Ledger) -> DataFrame:
     )
 
 
+view(
+    "fold_rows",
+    """
+SELECT label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5('fold' || CAST(customer_id AS VARCHAR)), customer_id) - 1)
+  % 5 AS INTEGER) AS fold
+FROM split_rows WHERE split = 'train'
+""",
+    "split_rows",
+)
+
+
+@query(
+    "cv_folds",
+    """
+SELECT fold, n_pos, n_neg, CAST(all_pos - n_pos AS BIGINT) AS train_pos, CAST(all_neg - n_neg AS BIGINT) AS train_neg,
+  round(coalesce(CAST(all_neg - n_neg AS DOUBLE) / nullif(all_pos - n_pos, 0), 1.0E0), 6) AS pos_weight
+FROM (SELECT *, sum(n_pos) OVER () AS all_pos, sum(n_neg) OVER () AS all_neg
+  FROM (SELECT fold, count(*) FILTER (label = 1) AS n_pos, count(*) FILTER (label = 0) AS n_neg FROM fold_rows GROUP BY fold))
+""",
+    ("fold_rows",),
+)
+def cv_folds(book: Ledger) -> DataFrame:
+    """Sizes and class weights of the folds that the search uses."""
+    cases = cases_of(book).filter(F.col("split") == "train")
+    return search.fold_weights(stage(search.add_stratified_folds(cases, "customer_id")))
+
+
 @query("cv_results")
 def cv_results(book: Ledger) -> DataFrame:
-    """Four settings here; ``learning.tune`` searches thirty by default."""
+    """Thirty settings in five stratified folds, each fold with a class weight of its own."""
     cases = cases_of(book).filter(F.col("split") == "train")
-    return learning.tune(cases, FEATURES, "customer_id", trials=4, folds=3)
+    return search.search(cases, FEATURES, learning.CATEGORIES, "customer_id")
