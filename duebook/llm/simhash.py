@@ -13,9 +13,7 @@ spanning forest of its links, so no pairs of a group are listed, yet no link bet
 
 Defined cases: a null or blank text has fingerprint zero, which links like any other; fewer than three words make one
 shingle; a null doc_id keeps its row and counts in no component's name unless all are null; repeated rows give repeated
-result rows; ``keep_one`` keeps one row of each component, the smallest doc_id (a null one last), of several texts with
-that doc_id the smallest (a null one first); other columns are ignored by ``fingerprints`` and kept by ``keep_one``;
-empty tables give empty results.
+result rows; other columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -25,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, stage_table, texts
@@ -202,39 +200,3 @@ def near_duplicates(documents: DataFrame, threshold: int = THRESHOLD) -> DataFra
     named = tied.groupBy("root").agg(F.min("smallest").alias("component_id"))
     of = tied.join(named, "root").select("print", "component_id")
     return prints.join(of, "print").select("doc_id", "print", "component_id")
-
-
-def _row_key() -> Column:
-    """Names a doc_id with its text; either may be null."""
-    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.md5("text"), F.lit("")))
-
-
-def _first_rows(documents: DataFrame, threshold: int) -> DataFrame:
-    """row_key of the row that each component keeps, found on keys; texts are read only where one doc_id has several."""
-    keyed = documents.select(_row_key().alias("row_key"), "doc_id", "text")
-    prints = stage_table(keyed.mapInArrow(_prints, "row_key string, doc_id long, print long"), "prints")
-    ends = [F.min("low").alias("low"), F.max("high").alias("high")]
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "low", "high")).alias("first")
-    ids = prints.select("print", "doc_id", F.col("row_key").alias("low"), F.col("row_key").alias("high")).groupBy("print", "doc_id").agg(*ends)
-    tied = _rooted(ids.groupBy("print").agg(first).select("print", "first.doc_id", "first.low", "first.high"), threshold)
-    tied = stage_table(tied, "rooted")
-    found = stage_table(tied.groupBy("root", "doc_id").agg(*ends).groupBy("root").agg(first).select("root", "first.*"), "first-rows")
-    one = found.where("low = high").select(F.col("low").alias("row_key"))
-    several = found.where("low <> high").select("root", F.col("doc_id").alias("first_id"))
-    if several.isEmpty():
-        return one
-    open_prints = tied.join(several, (tied["root"] == several["root"]) & tied["doc_id"].eqNullSafe(several["first_id"]))
-    open_prints = open_prints.select(tied["root"], F.col("print").alias("of_print"), "first_id")
-    rows = prints.join(open_prints, (prints["print"] == open_prints["of_print"]) & prints["doc_id"].eqNullSafe(open_prints["first_id"]))
-    rows = keyed.select("row_key", "text").join(rows.select("root", "row_key").distinct(), "row_key")
-    smallest = F.min(F.struct(F.col("text").isNotNull().alias("some"), "text", "row_key")).alias("first")
-    return one.union(rows.groupBy("root").agg(smallest).select("first.row_key"))
-
-
-def keep_one(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """One document of each component, with all its columns."""
-    name = "key_of_row"
-    while name in documents.columns:
-        name += "_"
-    kept = _first_rows(documents, threshold).withColumnRenamed("row_key", name)
-    return documents.withColumn(name, _row_key()).join(kept, name, "left_semi").dropDuplicates([name]).select(*documents.columns)
