@@ -173,7 +173,7 @@ def test_forest_takes_the_nearest_pairs():
                 total, old, new = total + d, root[a], root[b]
                 root = [new if r == old else r for r in root]
         assert sum(far[a, b] for a, b in edges) == total and len(edges) == 60 - len(set(root))
-    cross = near_copies.nearest_forest(prints[:1], prints[1:], 3)
+    cross = near_copies.nearest_forest(prints[:1], prints[1:], 4)
     assert sorted(cross) == [(0, 0), (0, 1)]
 
 
