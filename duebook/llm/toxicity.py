@@ -42,7 +42,7 @@ SECOND_PERSON = frozenset(
 )
 #: Signs that stand for letters.
 SUBSTITUTES = str.maketrans("013457@$!|", "oieastasil")
-EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+LETTER = re.compile(r"[^\W_]")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 INNER = re.compile(r"[^\W\d_][\d@$!*|+#]+[^\W\d_]")
 RUNS = re.compile(r"[!?]{2,}")
@@ -53,7 +53,21 @@ FEATURES = (
 
 def bare(word: str) -> str:
     """A word in lower case, without signs around it."""
-    return EDGES.sub("", word.lower())
+    word = word.lower()
+    if word.isalnum():
+        return word
+    first, last = LETTER.search(word), LETTER.search(word[::-1])
+    return word[first.start() : len(word) - last.start()] if first else ""
+
+
+def near_any(hits: list[int], persons: list[int]) -> int:
+    """Hits with a second person at most ``NEAR`` words away; both lists ascend."""
+    if not hits or not persons:
+        return 0
+    at, others = np.array(hits), np.array(persons)
+    after = np.searchsorted(others, at)
+    left, right = others[np.maximum(after - 1, 0)], others[np.minimum(after, len(others) - 1)]
+    return int(((np.abs(at - left) <= NEAR) | (np.abs(right - at) <= NEAR)).sum())
 
 
 def features(text: str, lexicon: frozenset[str]) -> list[float]:
@@ -67,7 +81,7 @@ def features(text: str, lexicon: frozenset[str]) -> list[float]:
     odd = [w for w in raw if not w.isalpha()]
     inner = [w for w in odd if INNER.search(w)]
     hidden = sum(bare(w.translate(SUBSTITUTES)) in lexicon for w in inner)
-    near = sum(any(abs(i - p) <= NEAR for p in persons) for i in hits) if persons else 0
+    near = near_any(hits, persons)
     places = np.array(hits)
     peak = int((np.searchsorted(places, places + STRETCH) - np.arange(len(hits))).max()) if hits else 0
     loud = sum(len(w) > 2 and w.isupper() for w in raw)
