@@ -36,8 +36,8 @@ def metadata(documents: DataFrame) -> DataFrame:
     )
 
 
-def chunks(documents: DataFrame, size: int = CHUNK_WORDS, overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """One row per word window; the first chunk of a document also carries the whole text."""
+def chunks(documents: DataFrame, size: int = CHUNK_WORDS, overlap: int = CHUNK_OVERLAP, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per word window, with the ``carry`` columns; the first chunk of a document also has the whole text."""
     windows = word_windows(F.col("tokens"), size, overlap)
     # the text is attached inside the array, so that exploding does not copy it once per chunk
     parts = F.transform(
@@ -51,7 +51,7 @@ def chunks(documents: DataFrame, size: int = CHUNK_WORDS, overlap: int = CHUNK_O
     )
     # the generator reads the finished ``tokens`` column; projecting in between would split the text several times
     split = documents.withColumn("tokens", words(F.col("text")))
-    return split.select("doc_id", "lang", "source", F.inline(parts))
+    return split.select("doc_id", "lang", "source", *carry, F.inline(parts))
 
 
 def chunk_errors(documents: DataFrame) -> DataFrame:

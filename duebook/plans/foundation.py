@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from duebook.functions.keys import hash_bucket
 from duebook.operators import features as feats
-from duebook.operators import quality
+from duebook.operators import masking, quality
 from duebook.operators import silver as clean
 from duebook.session import workspace
 from duebook.sources import sinks
 from duebook.sources.ledger import Ledger
+from duebook.sources.widening import WideningTable
 
 from .registry import query
 
@@ -308,3 +309,64 @@ def masked_customers(book: Ledger) -> DataFrame:
         "sector",
         hash_bucket(F.col("customer_id"), 16).alias("tenant"),
     )
+
+
+@query(
+    "masked_by_role",
+    """
+SELECT 'analyst' AS role, customer_id, regexp_replace(name, '[0-9]', '*', 'g') AS name, sector, size_band,
+  CAST(NULL AS VARCHAR) AS nation
+FROM customers
+UNION ALL
+SELECT 'collections', customer_id, name, sector, size_band, nation FROM customers
+UNION ALL
+SELECT 'partner', customer_id, md5(name), NULL, size_band, NULL FROM customers
+""",
+    ("customers",),
+)
+def masked_by_role(book: Ledger) -> DataFrame:
+    """The customers as three roles see them, by one policy table."""
+    rules = [("analyst", "name", "digits"), ("analyst", "sector", "show"), ("analyst", "size_band", "show")]
+    rules += [("collections", c, "show") for c in ("name", "sector", "size_band", "nation")]
+    rules += [("partner", "name", "digest"), ("partner", "size_band", "show"), ("partner", "sector", "hide")]
+    policy = book.spark.createDataFrame(rules, masking.POLICY)
+    roles = F.explode(F.array(*map(F.lit, ("analyst", "collections", "partner")))).alias("role")
+    rows = book.customers().select(roles, "customer_id", "name", "sector", "size_band", "nation")
+    return masking.masked(rows, policy, ["customer_id"])
+
+
+@query(
+    "bronze_widened",
+    """
+SELECT customer_id, name, sector, CAST(NULL AS INTEGER) AS load_no, CAST(NULL AS VARCHAR) AS channel, '1' AS load_id
+FROM customers
+UNION ALL
+SELECT customer_id, '  ' || name || ' ', NULL, 2, 'export', '2' FROM customers WHERE nation IS NOT NULL
+""",
+    ("customers",),
+)
+def bronze_widened(book: Ledger) -> DataFrame:
+    """A second load brings two more columns and lacks one; it is sent twice and stands once."""
+    table = WideningTable(book.spark, workspace(book.spark, "widened"))
+    table.append("1", book.customers().select("customer_id", "name", "sector"))
+    padded = F.concat(F.lit("  "), "name", F.lit(" ")).alias("name")
+    second = book.customers().where(F.col("nation").isNotNull())
+    for _ in range(2):
+        table.append("2", second.select("customer_id", padded, F.lit(2).alias("load_no"), F.lit("export").alias("channel")))
+    return table.read()
+
+
+@query(
+    "gold_replaced",
+    """
+SELECT customer_id, count(*) AS n_invoices, max(due_date) AS last_due FROM invoices GROUP BY customer_id
+""",
+    ("invoices",),
+)
+def gold_replaced(book: Ledger) -> DataFrame:
+    """A full overwrite replaces the columns of the table with the rows."""
+    path = workspace(book.spark, "gold")
+    by_customer = book.invoices().groupBy("customer_id")
+    for columns in ([F.sum("amount").alias("total_amount")], [F.count(F.lit(1)).alias("n_invoices"), F.max("due_date").alias("last_due")]):
+        sinks.overwrite(by_customer.agg(*columns), path)
+    return book.spark.read.parquet(path)

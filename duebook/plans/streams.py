@@ -115,7 +115,7 @@ view(
 SELECT doc_id, 'Revised. ' || text AS text, 2 AS version, list_prepend('Revised.', words) AS words FROM doc_words
 WHERE lang = 'de'
 UNION ALL
-SELECT doc_id, text, 1, words FROM doc_words WHERE lang <> 'de'
+SELECT doc_id, text, 1, words FROM doc_words WHERE lang NOT IN ('de', 'fr')
 """,
     "doc_words",
 )
@@ -131,14 +131,22 @@ FROM (SELECT *, CAST(unnest(range(0, (len(words) + 230) // 231)) AS INTEGER) AS
     ("revised_words",),
 )
 def stream_chunk_upsert(book: Ledger) -> DataFrame:
-    """All documents arrive, then a revision of the German ones; the first versions of those must be gone."""
+    """All documents arrive, then a revision of the German ones; after a compaction the revision comes again, with a
+    French version without text. The first versions must be gone, repeats appear once, the emptied have no chunks."""
     root = workspace(book.spark, "chunks")
     first = book.table("documents").select("doc_id", "text", "lang", "source", F.lit(1).alias("version"))
     revised = first.filter(F.col("lang") == "de").withColumns(
         {"text": F.concat(F.lit("Revised. "), "text"), "version": F.lit(2)}
     )
-    for part in (first, revised):
+    emptied = first.filter(F.col("lang") == "fr").withColumns({"text": F.lit(""), "version": F.lit(2)})
+
+    def send(part: DataFrame) -> None:
         part.write.mode("append").parquet(f"{root}/feed")
         chunks.sync_chunks(book.spark, f"{root}/feed", first.schema, f"{root}/chunks", f"{root}/checkpoint")
+
+    send(first)
+    send(revised)
+    chunks.compact(book.spark, f"{root}/chunks")
+    send(revised.unionByName(emptied))
     current = chunks.current_chunks(book.spark, f"{root}/chunks")
     return current.select("doc_id", "version", "chunk_id", "chunk_index", "chunk_text")

@@ -1,10 +1,11 @@
-"""Table writers: full overwrite, append-only log, month partitions, clustered rewrite; and table health."""
+"""Table writers: full overwrite, append-only log, month partitions, clustered rewrite, removal of retired folders; and
+table health."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,10 +43,24 @@ def written_schema(df: DataFrame, *partitions: str) -> T.StructType:
     return T.StructType(body + [fields[p] for p in partitions])
 
 
-def write_clustered(df: DataFrame, path: str, order: Sequence[str]) -> None:
+def write_clustered(df: DataFrame, path: str, order: Sequence[str], files: int | None = None) -> None:
     """Rewrites a table in ranges of ``order`` so that file statistics prune; give a unique last column, so that one
-    key with many rows spans several files."""
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    key with many rows spans several files. Without a number of ``files``, AQE chooses it by size."""
+    ranges = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    ranges.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
+def remove_folders(spark: SparkSession, parent: str, prefix: str, upto: int) -> None:
+    """Deletes the folders ``<prefix><number>`` below ``parent`` whose number is at most ``upto``, on any file system."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return
+    for status in system.listStatus(root):
+        name = status.getPath().getName()
+        number = name.removeprefix(prefix)
+        if name.startswith(prefix) and number.isdigit() and int(number) <= upto:
+            system.delete(status.getPath(), True)
 
 
 def health(df: DataFrame, name: str) -> DataFrame:

@@ -1,14 +1,17 @@
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duebook.session import workspace
-from duebook.operators import learning, monitoring
+from duebook.operators import learning, masking, monitoring
 from duebook.sources import schemas, sinks
 from duebook.sources.documents import read_documents
+from duebook.sources.widening import WideningTable, read_merged
 from duebook.streaming import chunks, ingest, metrics, scoring
 
 DROP = T.StructType([T.StructField("id", T.LongType()), T.StructField("amount", T.DoubleType())])
@@ -82,9 +85,68 @@ def test_a_new_version_replaces_all_chunks_of_a_document(spark):
     assert send((1, long, "en", "s", 1), (2, "a", "en", "s", 1)) == [(1, 1, 0), (1, 1, 1), (1, 1, 2), (2, 1, 0)]
     assert send((1, "short now", "en", "s", 2)) == [(1, 2, 0), (2, 1, 0)]
     assert send((1, "short now", "en", "s", 2)) == [(1, 2, 0), (2, 1, 0)]  # sent again: still once
-    chunks.compact(spark, f"{root}/out", f"{root}/base")
-    assert spark.read.parquet(f"{root}/base").count() == 2
+    for _ in range(2):  # nothing to do the second time
+        chunks.compact(spark, f"{root}/out")
+        current = chunks.current_chunks(spark, f"{root}/out")
+        assert current.count() == 2 and all("/bases/upto=2/" in path for path in current.inputFiles())
     assert send((2, "", "en", "s", 2)) == [(1, 2, 0)]  # emptied: its chunks are gone
+    chunks.compact(spark, f"{root}/out")
+    assert send((2, "back", "en", "s", 3)) == [(1, 2, 0), (2, 3, 0)]
+    folders = {path.split(f"{root}/out/")[1].rsplit("/", 1)[0] for path in chunks.current_chunks(spark, f"{root}/out").inputFiles()}
+    assert folders == {"bases/upto=3/chunks", "bases/upto=3/versions", "chunks/batch_id=4", "versions/batch_id=4"}
+
+
+def test_a_clustered_table_prunes_by_file_statistics(spark):
+    root = workspace(spark, "test")
+    rows = spark.range(20_000).selectExpr("id % 997 AS customer_id", "id AS invoice_id")
+    sinks.write_clustered(rows, root, ["customer_id", "invoice_id"], files=16)
+    ranges = []
+    for path in spark.read.parquet(root).inputFiles():
+        footer = pq.ParquetFile(path.removeprefix("file://")).metadata
+        stats = [footer.row_group(i).column(0).statistics for i in range(footer.num_row_groups)]
+        ranges.append((min(s.min for s in stats), max(s.max for s in stats)))
+    assert len(ranges) == 16
+    assert sum(low <= 120 and high >= 100 for low, high in ranges) <= 2
+
+
+def test_an_overwrite_replaces_the_schema(spark):
+    root = workspace(spark, "test")
+    sinks.overwrite(spark.createDataFrame([(1, "a")], "id int, name string"), root)
+    sinks.overwrite(spark.createDataFrame([(2.5,)], "amount double"), root)
+    assert spark.read.parquet(root).collect() == [Row(amount=2.5)]
+
+
+def test_a_table_widens_by_load(spark):
+    table = WideningTable(spark, workspace(spark, "test"))
+    assert table.schema() is None and table.read().count() == 0
+    table.append("1", spark.createDataFrame([(1, 1.5)], "id int, amount float"))
+    for _ in range(2):
+        table.append("2", spark.createDataFrame([(1 << 40, "x")], "id long, Note string"))
+    table.append("3", spark.createDataFrame([(2, "y", 0.1)], "id short, note string, amount double"))
+    rows = sorted(table.read().collect(), key=lambda r: r.load_id)
+    assert [tuple(r) for r in rows] == [(1, 1.5, None, "1"), (1 << 40, None, "x", "2"), (2, 0.1, "y", "3")]
+    for wrong in ("id string", "load_id string", "a int, A int"):
+        with pytest.raises(ValueError):
+            table.append("4", spark.createDataFrame([], wrong))
+    assert table.read().count() == 3
+
+
+def test_stored_and_merged_schemas_agree(spark):
+    table = WideningTable(spark, workspace(spark, "test"))
+    table.append("a", spark.createDataFrame([(1,)], "id int"))
+    table.append("b", spark.createDataFrame([(2, "n")], "id int, note string"))
+    merged = read_merged(spark, f"{table.root}/loads")
+    assert sorted(map(tuple, merged.select("id", "note", "load_id").collect())) == sorted(map(tuple, table.read().collect()))
+
+
+def test_masks_default_to_hidden(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, "n1", 5), ("b", 1, "n1", 5), (None, 1, "n1", 5), ("c", 1, None, 5)], "role string, id int, name string, n int"
+    )
+    rules = [("a", "name", "show"), ("a", "name", "digits"), ("a", "n", "digits"), ("b", "n", "show"), ("b", "name", "odd"), ("c", "name", "digits"), (None, "n", "show")]
+    seen = masking.masked(rows, spark.createDataFrame(rules, masking.POLICY), ["id"]).collect()
+    assert sorted(map(tuple, seen), key=str) == sorted([("a", 1, "n*", None), ("b", 1, None, 5), (None, 1, None, None), ("c", 1, None, None)], key=str)
+    assert masking.masked(rows, spark.createDataFrame([], masking.POLICY)).select("name").distinct().collect() == [Row(name=None)]
 
 
 def test_partition_overwrite_touches_only_its_partitions(spark):
