@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duebook.operators.ordering import exact_quantiles, value_counts
+from duebook.operators.ordering import nth_rows, number_or_null
 from duebook.session import stage
 
 LEAK_CORRELATION = 0.95
@@ -16,34 +17,25 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 def describe_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles per feature."""
-    staged = stage(df.select(*features))
-    counts = value_counts(staged, features)
-    n, v = F.col("n"), F.col("value")
-    # counts of distinct values carry everything the moments need
-    total = counts.groupBy("feature").agg(
-        F.sum(n).alias("size"),
-        (F.sum(v * n) / F.sum(n)).alias("mean"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    )
-    centred = counts.join(F.broadcast(total), "feature")
-    spread = centred.groupBy("feature").agg(
-        F.sqrt(F.try_divide(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))), F.max("size") - 1)).alias("sd")
-    )
-    quartiles = exact_quantiles(staged, features, QUARTILES, counts).drop("n")
-    return (
-        total.join(spread, "feature")
-        .join(quartiles, "feature")
-        .select(
-            "feature",
-            F.col("size").alias("n"),
-            F.round("mean", 4).alias("mean"),
-            F.round("sd", 4).alias("sd"),
-            "min",
-            "max",
-            *[F.round(q, 6).alias(q) for q in QUARTILES],
-        )
-    )
+    staged = stage(df.select(*[number_or_null(F.col(f)).alias(f) for f in features]))
+    moments = {"n": F.count, "mean": F.avg, "sd": F.stddev_samp, "min": F.min, "max": F.max}
+    row = staged.agg(*[make(f).alias(f"{m}_{i}") for i, f in enumerate(features) for m, make in moments.items()]).first()
+    sizes = {f: row[f"n_{i}"] for i, f in enumerate(features) if row[f"n_{i}"]}
+    ranks = {f: {name: level * (n - 1) for name, level in QUARTILES.items()} for f, n in sizes.items()}
+    positions = {f: sorted({at for r in ranks[f].values() for at in (math.floor(r) + 1, math.ceil(r) + 1)}) for f in sizes}
+    values = nth_rows(staged, positions, max(sizes.values())) if sizes else {}
+    table = []
+    for i, f in enumerate(features):
+        if f in sizes:
+            own = [row[f"{m}_{i}"] for m in moments]
+            for rank in ranks[f].values():
+                low, high = (values[f][at][0] for at in (math.floor(rank) + 1, math.ceil(rank) + 1))
+                own.append(low + (high - low) * (rank - math.floor(rank)))
+            table.append((f, *own))
+    # one row per feature
+    found = df.sparkSession.createDataFrame(table, "feature string, n bigint, mean double, sd double, min double, max double, q1 double, median double, q3 double")
+    rounded = [F.round("mean", 4).alias("mean"), F.round("sd", 4).alias("sd")]
+    return found.select("feature", "n", *rounded, "min", "max", *[F.round(q, 6).alias(q) for q in QUARTILES])
 
 
 def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duebook.functions.bands import first_below, first_reached
-from duebook.operators.ordering import ntile_from_position, number_rows
+from duebook.operators.ordering import ntiles
 from duebook.session import stage
 from duebook.sources.ledger import OVERDUE, PAID, PENDING
 
@@ -99,13 +99,9 @@ def rfm_quintiles(features: DataFrame) -> DataFrame:
             F.col("billed_365d").alias("monetary"),
         )
     )
-    size = F.lit(base.count())
-    ranked = base
-    for measure, name in (("freshness", "r"), ("frequency", "f"), ("monetary", "m")):
-        ranked = number_rows(ranked, F.col(measure), F.col("customer_id"), f"{name}_position", base)
-    parts = [ntile_from_position(F.col(f"{n}_position"), size, 5).alias(f"{n}_quintile") for n in "rfm"]
-    out = ranked.select("customer_id", *parts)
-    return out.withColumn("rfm_code", F.col("r_quintile") * 100 + F.col("f_quintile") * 10 + F.col("m_quintile"))
+    scored = ntiles(base, {"r_quintile": "freshness", "f_quintile": "frequency", "m_quintile": "monetary"}, "customer_id", 5)
+    code = F.col("r_quintile") * 100 + F.col("f_quintile") * 10 + F.col("m_quintile")
+    return scored.select("customer_id", "r_quintile", "f_quintile", "m_quintile", code.alias("rfm_code"))
 
 
 def load_sample(df: DataFrame, key: str, percent_kept: int) -> DataFrame:

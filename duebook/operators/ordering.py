@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 MIN_SLOTS = 64
 MAX_SLOTS = 4096
 TIE_SLOTS = 64
+SLOT_ROWS = 50_000
 
 
-def slot_count(df: DataFrame) -> int:
-    """As many slots as the session shuffles into, within fixed bounds."""
-    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(MIN_SLOTS, min(MAX_SLOTS, shuffles))
+def slot_count(df: DataFrame, rows: int | None = None) -> int:
+    """As many slots as keep ``SLOT_ROWS`` rows in one, or as the session shuffles into if the rows are not counted;
+    within fixed bounds."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if rows is None else rows // SLOT_ROWS
+    return max(MIN_SLOTS, min(MAX_SLOTS, wanted))
 
 
 def cut_points(df: DataFrame, sizes: Mapping[str, int]) -> dict[str, list[float]]:
@@ -103,6 +105,96 @@ def running_totals(
     )
 
 
+def nth_rows(
+    df: DataFrame, positions: Mapping[str, Sequence[int]], rows: int, tie: str | None = None
+) -> dict[str, dict[int, tuple[float, int | None]]]:
+    """Per column the (value, tie) at 1-based ``positions`` when its values, NULL and NaN left out, are ordered.
+
+    Slots are counted without moving a row; only rows of the slots that hold a position are shuffled and ordered. The
+    driver gets one row per position. Without ``tie``, a value that many rows share needs no order at all.
+    The input is read three times: stage it when it is costly.
+    """
+    names = list(positions)
+    n_slots = slot_count(df, rows)
+    extra = {tie: TIE_SLOTS} if tie else {}
+    cuts = cut_points(df, {n: n_slots for n in names} | extra)
+    slotted = add_slots(df.select(*names, *extra), cuts)
+
+    def entry(name: str, *more: Column) -> Column:
+        spread = F.when(F.col(f"{name}_slot") % 2 == 1, F.col(f"{tie}_slot")).otherwise(0) if tie else F.lit(0)
+        return F.struct(F.lit(name).alias("name"), F.col(f"{name}_slot").alias("slot"), spread.alias("part"), *more)
+
+    def long(entries: Sequence[Column]) -> DataFrame:
+        return slotted.select(F.inline(F.filter(F.array(*entries), lambda e: e["slot"].isNotNull())))
+
+    totals = long([entry(n) for n in names]).groupBy("name", "slot", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("name").orderBy("slot", "part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    asked = [(name, int(at)) for name in names for at in positions[name]]
+    wanted = F.broadcast(df.sparkSession.createDataFrame(asked, "name string, position bigint"))
+    inside = (F.col("position") > F.col("before")) & (F.col("position") <= F.col("before") + F.col("n"))
+    # one row per position
+    holding = totals.join(wanted, "name").where(inside).collect()
+    entries = []
+    for name in names:
+        own = {(r.slot, r.part) for r in holding if r.name == name}
+        chosen = F.lit(False)
+        for slot, part in sorted(own):
+            chosen = chosen | ((F.col(f"{name}_slot") == slot) & (entry(name)["part"] == part))
+        value = number_or_null(F.col(name)).alias("value")
+        held = entry(name, value, (F.col(tie) if tie else F.lit(None).cast("bigint")).alias("tie"))
+        entries.append(F.when(chosen, held))
+    rows_held = slotted.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    found: dict[str, dict[int, tuple[float, int | None]]] = {name: {} for name in names}
+    if not holding:
+        return found
+    places = [(r.name, r.slot, r.part, int(r.position - r.before), int(r.position)) for r in holding]
+    places = df.sparkSession.createDataFrame(places, "name string, slot int, part int, place int, position bigint")
+    if tie:
+        numbered = Window.partitionBy("name", "slot", "part").orderBy("value", "tie")
+        rows_held = rows_held.withColumn("place", F.row_number().over(numbered))
+        picked = rows_held.join(F.broadcast(places), ["name", "slot", "part", "place"])
+    else:
+        # equal values are counted, not ordered
+        counted = rows_held.groupBy("name", "slot", "part", "value").agg(F.count(F.lit(1)).alias("n"))
+        running = Window.partitionBy("name", "slot", "part").orderBy("value")
+        counted = counted.withColumn("upto", F.sum("n").over(running)).join(F.broadcast(places), ["name", "slot", "part"])
+        picked = counted.where((F.col("place") <= F.col("upto")) & (F.col("place") > F.col("upto") - F.col("n")))
+        picked = picked.withColumn("tie", F.lit(None).cast("bigint"))
+    for r in picked.select("name", "position", "value", "tie").collect():
+        found[r.name][r.position] = (r.value, r.tie)
+    return found
+
+
+def ntiles(df: DataFrame, columns: Mapping[str, str], tie: str, tiles: int) -> DataFrame:
+    """Adds ``columns = {new column: ordered column}``: the SQL ``ntile`` by value, missing ones last, then ``tie``.
+
+    Only the first row of each tile is looked for; every other row is compared with those, so no row is shuffled.
+    """
+    keys = {new: f"__{new}_key" for new in columns}
+    keyed = df.withColumns({keys[new]: order_key(F.col(source)) for new, source in columns.items()})
+    rows = df.count()
+    small, large = divmod(rows, tiles)
+    starts = [at for j in range(1, tiles) if (at := 1 + j * small + min(j, large)) <= rows]
+    edges = nth_rows(keyed, {key: starts for key in keys.values()}, rows, tie)
+
+    def tile(key: str) -> Column:
+        number = F.lit(1)
+        for value, first in edges[key].values():
+            reached = (F.col(key) > value) | ((F.col(key) == value) & (F.col(tie) >= first))
+            number = number + reached.cast("int")
+        return number
+
+    return keyed.withColumns({new: tile(key) for new, key in keys.items()}).drop(*keys.values())
+
+
+def order_key(value: Column) -> Column:
+    """The value as a double that sorts missing values as the largest double, after infinity."""
+    below = math.nextafter(sys.float_info.max, 0)
+    number = number_or_null(value)
+    return F.when(number.isNull(), sys.float_info.max).otherwise(F.least(number, F.lit(below)))
+
+
 def number_rows(
     df: DataFrame, value: Column, tie: Column, position: str = "position", base: DataFrame | None = None
 ) -> DataFrame:
@@ -117,13 +209,9 @@ def number_rows(
     base = df if base is None else base
 
     def keyed(rows: DataFrame) -> DataFrame:
-        # a missing value sorts as the largest double; infinity just before it
-        below = math.nextafter(sys.float_info.max, 0)
-        number = number_or_null(value)
-        known = F.when(number.isNull(), sys.float_info.max).otherwise(F.least(number, F.lit(below)))
-        return rows.select("*", known.alias("__value"), tie.cast("double").alias("__tie"))
+        return rows.select("*", order_key(value).alias("__value"), tie.cast("double").alias("__tie"))
 
-    cuts = cut_points(keyed(base), {"__value": slot_count(df), "__tie": TIE_SLOTS})
+    cuts = cut_points(keyed(base), {"__value": slot_count(df, base.count()), "__tie": TIE_SLOTS})
 
     def slotted(rows: DataFrame) -> DataFrame:
         spread = F.when(F.col("__value_slot") % 2 == 1, F.col("__tie_slot")).otherwise(0)

@@ -18,6 +18,10 @@ from duebook.session import stage
 
 MAX_BROADCAST_QUERIES = 4096
 GRID_QUERIES, GRID_CORPUS = 2048, 65536
+#: Bytes of one matrix of distances.
+TILE_BYTES = 1 << 24
+#: Hits whose documents are found by a broadcast of their ids.
+MAX_BROADCAST_HITS = 1_000_000
 RULE = "* * *"
 NO_TEXT = "(no text)"
 HITS = "query_id string, vec_id bigint, distance double"
@@ -37,40 +41,45 @@ def distances(corpus: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarra
     return np.round(d, 6) + 0.0
 
 
-def keep_best(ids: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k smallest of each column by distance then id, as (ids, distances) of shape (k or fewer, queries)."""
-    order = np.argsort(ids, kind="stable")
-    ids, d = ids[order], d[order]
-    best = np.argsort(d, axis=0, kind="stable")[:k]
-    return ids[best], np.take_along_axis(d, best, axis=0)
-
-
 class BestHits:
-    """The k best hits per query over the batches of one task."""
+    """The k best hits per query, by distance then id, over the batches of one task.
+
+    The corpus is compared in tiles of fixed bytes; of a tile only rows as near as a query's k-th best are kept.
+    """
 
     def __init__(self, queries: pd.DataFrame, k: int, metric: str):
         self.names = queries["query_id"].to_numpy()
         self.matrix = np.stack(queries["vector"].to_numpy()).astype("float64")
         self.groups = queries["match"].to_numpy()
         self.k, self.metric = k, metric
-        self.ids = np.empty((0, len(self.names)), dtype="int64")
-        self.found = np.empty((0, len(self.names)))
+        self.query, self.ids, self.found = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
+        self.limit = np.full(len(self.names), np.finfo("float64").max)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray, groups: np.ndarray) -> None:
-        d = distances(vectors.astype("float64"), self.matrix, self.metric)
-        allowed = groups[:, None] == self.groups[None, :]
-        ids, d = keep_best(ids, np.where(allowed, d, np.inf), self.k)
-        ids, d = np.vstack([self.ids, ids]), np.vstack([self.found, d])
-        by_id = np.argsort(ids, axis=0, kind="stable")
-        ids, d = np.take_along_axis(ids, by_id, axis=0), np.take_along_axis(d, by_id, axis=0)
-        best = np.argsort(d, axis=0, kind="stable")[: self.k]
-        self.ids, self.found = np.take_along_axis(ids, best, axis=0), np.take_along_axis(d, best, axis=0)
+        tile = max(1, TILE_BYTES // (8 * len(self.names)))
+        for start in range(0, len(ids), tile):
+            part = slice(start, start + tile)
+            d = distances(vectors[part].astype("float64"), self.matrix, self.metric)
+            self._add(ids[part], np.where(groups[part, None] == self.groups[None, :], d, np.inf))
+
+    def _add(self, ids: np.ndarray, d: np.ndarray) -> None:
+        limit = self.limit
+        if len(d) > self.k:
+            limit = np.minimum(limit, np.partition(d, self.k - 1, axis=0)[self.k - 1])
+        rows, query = np.nonzero(d <= limit)
+        query = np.concatenate([self.query, query])
+        ids, found = np.concatenate([self.ids, ids[rows]]), np.concatenate([self.found, d[rows, query[len(self.query) :]]])
+        order = np.lexsort((ids, found, query))
+        query = query[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = order[place < self.k]
+        last = order[place == self.k - 1]
+        self.query, self.ids, self.found = query[place < self.k], ids[kept], found[kept]
+        self.limit[query[place == self.k - 1]] = found[last]
 
     def rows(self) -> pd.DataFrame:
-        names = np.broadcast_to(self.names[None, :], self.ids.shape)
-        kept = np.isfinite(self.found)
         # plain objects: pandas would make the names an Arrow column, in chunks that a group result may not have
-        return pd.DataFrame({"query_id": pd.Series(names[kept], dtype=object), "vec_id": self.ids[kept], "distance": self.found[kept]})
+        return pd.DataFrame({"query_id": pd.Series(self.names[self.query], dtype=object), "vec_id": self.ids, "distance": self.found})
 
 
 def _broadcast_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
@@ -163,7 +172,11 @@ def centroids(vectors: DataFrame, by: str) -> DataFrame:
 
 def context_blocks(hits: DataFrame, documents: DataFrame) -> DataFrame:
     """One text per query: its documents in order of place, with a rule between them; a hit keeps its place without one."""
-    named = documents.select(F.col("doc_id").alias("vec_id"), "lang", "source", "text")
+    hits = stage(hits.select("query_id", "place", "vec_id"))
+    # documents without a hit leave before any text is shuffled
+    ids = hits.select("vec_id").distinct()
+    ids = F.broadcast(ids) if hits.count() <= MAX_BROADCAST_HITS else ids
+    named = documents.select(F.col("doc_id").alias("vec_id"), "lang", "source", "text").join(ids, "vec_id", "left_semi")
     found = hits.join(named, "vec_id", "left")
     number, name = F.concat(F.lit("#"), F.col("place").cast("string")), F.concat(F.lit("document "), F.col("vec_id").cast("string"))
     block = F.concat_ws("\n", F.concat_ws(" | ", number, name, "source", "lang"), F.coalesce("text", F.lit(NO_TEXT)))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from duebook.functions.text import PAGE_RULES, WHITE_SPACE
 from duebook.operators import documents as docs
 from duebook.operators import textvectors, vectors
+from duebook.operators.cellindex import CellIndex
 from duebook.operators.silver import payments_by_invoice
-from duebook.session import stage
+from duebook.session import stage, workspace
 from duebook.sources.ledger import Ledger
 
 from .common_sql import view
@@ -406,6 +407,14 @@ def text_search(book: Ledger) -> DataFrame:
     return vectors.nearest(questions, textvectors.unit_vectors(counted, rarity), 3, "cosine")
 
 
+@query("knn_cells_exact", nearest_sql("group_centroids", 3), ("group_centroids",))
+def knn_cells_exact(book: Ledger) -> DataFrame:
+    """Search in a stored index of 32 cells: distance bounds say which rows may be left out."""
+    index = CellIndex(book.spark, workspace(book.spark, "cells"))
+    index.build(corpus_of(book), 32)
+    return index.search(group_queries(book), 3)[0]
+
+
 @query("knn_cell_recall")
 def knn_cell_recall(book: Ledger) -> DataFrame:
     """Search in 3 of 32 cells: recall beside the share of rows compared."""

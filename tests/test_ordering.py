@@ -9,6 +9,8 @@ from duebook.operators.ordering import (
     add_slots,
     cut_points,
     exact_quantiles,
+    nth_rows,
+    ntiles,
     ntile_from_position,
     number_rows,
     running_totals,
@@ -99,3 +101,23 @@ def test_missing_values_come_after_infinite_ones(spark):
     df = spark.createDataFrame(rows, "id bigint, x double")
     got = {r["id"]: r["position"] for r in number_rows(df, F.col("x"), F.col("id")).collect()}
     assert got == {3: 1, 2: 2, 1: 3, 0: 4, 4: 5, 5: 6}
+
+
+@SLOW
+@given(st.lists(st.one_of(st.none(), st.integers(0, 4), st.floats(-3, 3), st.just(float("inf"))), min_size=1, max_size=40))
+def test_ntiles_equal_the_plain_window(spark, values):
+    data = [(i, None if v is None else float(v), float(i % 3)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "id bigint, x double, y double")
+    got = ntiles(df, {"a": "x", "b": "y"}, "id", 5)
+    assert got.columns == ["id", "x", "y", "a", "b"]
+    want = df
+    for new, old in (("a", "x"), ("b", "y")):
+        want = want.withColumn(new, F.ntile(5).over(Window.orderBy(F.col(old).asc_nulls_last(), "id")))
+    key = ["id", "a", "b"]
+    assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, want.select(key).collect()))
+
+
+def test_nth_rows_leave_missing_values_out(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, None), (3, float("nan")), (4, 1.0), (5, 2.0)], "id bigint, x double")
+    assert nth_rows(df, {"x": [1, 3, 4]}, 5) == {"x": {1: (1.0, None), 3: (2.0, None)}}
+    assert nth_rows(df, {"x": [2, 3]}, 5, "id") == {"x": {2: (2.0, 1), 3: (2.0, 5)}}
