@@ -63,6 +63,8 @@ NEARBY = {
 AGAINST = r"(?i)\b(version|isbn|order|invoice|serial|sha|hash|token|build|rev)\b[^\n]{0,12}$"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _WORK = "duebook_pii_"
+#: Characters of a text that are looked up together.
+_CUT = 16_384
 
 
 def _running(array: str) -> str:
@@ -79,6 +81,54 @@ def _offsets(lengths: str) -> str:
     return f"flatten(zip_with({blocks}, {_running(totals)}, (b, o) -> transform({inner}, v -> v + o)))"
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``, which is computed once a row."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _blocks(array: str) -> str:
+    """Runs of neighbouring spans, about as many as each holds, with the range of text that each covers."""
+    width = f"greatest(32, cast(ceil(sqrt(size({array}))) AS int))"
+    cut = f"transform(sequence(0, size({array}) - 1, w), i -> slice({array}, i + 1, w))"
+    ranges = "transform(cut, b -> named_struct('spans', b, 'low', b[0].start, 'high', array_max(transform(b, y -> y.end))))"
+    return _let("w", width, _let("cut", cut, ranges))
+
+
+def _apart(loose: str, fixed: str) -> str:
+    """The loose spans that meet no fixed one; blocks of fixed spans that lie elsewhere are passed over whole."""
+    meets = "exists(bs, b -> b.low < x.end AND x.start < b.high AND exists(b.spans, y -> y.start < x.end AND x.start < y.end))"
+    kept = _let("bs", _blocks(fixed), f"filter({loose}, x -> NOT {meets})")
+    return f"CASE WHEN size({loose}) = 0 OR size({fixed}) = 0 THEN {loose} ELSE {kept} END"
+
+
+def _replaced(text: str, spans: str, names: str) -> str:
+    """``text`` with each of its ordered ``spans`` replaced by the name of its kind. A span that begins inside what
+    lies before gives no name, and no text either as far as it reaches.
+
+    What lies before a span ends at the largest end so far: that of whole blocks of spans and of its own block. The
+    text is looked up in blocks too, so that no span counts characters from the start of a long text.
+    """
+    size = f"size({spans})"
+    ends = f"transform({spans}, x -> x.end)"
+    tops = f"transform(sequence(0, {size} - 1, w), i -> array_max(slice(ends, i + 1, w)))"
+    before = "transform(tops, (t, b) -> coalesce(array_max(slice(tops, 1, b)), 0))"
+    reached = "transform(ends, (e, i) -> greatest(get(before, i DIV w), coalesce(array_max(slice(ends, cast((i DIV w) * w + 1 AS int), i % w)), 0)))"
+    at = "get(reached, i)"
+    one = f"cast({at} DIV {_CUT} AS int)"
+    other = f"cast(x.start DIV {_CUT} AS int)"
+    within = f"substring(get(parts, {one}), {at} % {_CUT} + 1, x.start - {at})"
+    across = (
+        f"concat(substring(get(parts, {one}), {at} % {_CUT} + 1), array_join(slice(parts, {one} + 2, {other} - {one} - 1), ''),"
+        f" substring(coalesce(get(parts, {other}), ''), 1, x.start % {_CUT}))"
+    )
+    gap = f"CASE WHEN {one} = {other} THEN {within} ELSE {across} END"
+    pieces = f"transform({spans}, (x, i) -> CASE WHEN x.start < {at} THEN '' ELSE concat({gap}, {names}[x.kind]) END)"
+    whole = f"concat(array_join({pieces}, ''), substring({text}, array_max(ends) + 1))"
+    parts = f"transform(sequence(0, length({text}), {_CUT}), i -> substring({text}, i + 1, {_CUT}))"
+    body = _let("before", before, _let("reached", reached, _let("parts", parts, whole)))
+    return _let("ends", ends, _let("w", f"greatest(32, cast(ceil(sqrt({size})) AS int))", _let("tops", tops, body)))
+
+
 def _valid(kind: str) -> str:
     """Condition on ``m``, a match of the fixed form."""
     digits = r"regexp_replace(m, '[^0-9]', '')"
@@ -158,8 +208,7 @@ def _candidates(documents: DataFrame, text: str) -> DataFrame:
         " WHEN length(regexp_replace(x.m, '[^0-9]', '')) > 10 THEN 2 ELSE 3 END"
     )
     votes = "CASE " + " ".join(f"WHEN ({number}) = {i} THEN {_on(_votes(k))}" for i, k in enumerate(KINDS)) + " END"
-    apart = f"filter({x}, x -> NOT exists(base, b -> b.start < x.end AND x.start < b.end))"
-    frame = frame.withColumn("loose", F.expr(f"transform({apart}, x -> named_struct('start', x.start, 'end', x.end, 'kind', {number}, 'votes', {votes}))"))
+    frame = frame.withColumn("loose", F.expr(f"transform({_apart(x, 'base')}, x -> named_struct('start', x.start, 'end', x.end, 'kind', {number}, 'votes', {votes}))"))
     return frame.drop(*[c for c in frame.columns if c.startswith(_WORK)])
 
 
@@ -258,11 +307,7 @@ def mask(documents: DataFrame, cut: float = CUT) -> DataFrame:
     found = _candidates(held, "plain").withColumn("added", _accepted(weights, cut))
     ordered = "array_sort(concat(base, added), (l, r) -> CASE WHEN l.start <> r.start THEN l.start - r.start ELSE r.end - l.end END)"
     names = "array(" + ", ".join(f"'[{k.upper()}]'" for k in KINDS) + ")"
-    step = (
-        "CASE WHEN x.start < s.at THEN named_struct('at', greatest(s.at, x.end), 'out', s.out) ELSE "
-        f"named_struct('at', x.end, 'out', concat(s.out, array(substring(plain, s.at + 1, x.start - s.at), {names}[x.kind]))) END"
-    )
-    pieces = f"aggregate({ordered}, named_struct('at', 0, 'out', cast(array() AS array<string>)), (s, x) -> {step}, s -> concat(array_join(s.out, ''), substring(plain, s.at + 1)))"
+    pieces = _let("spans", ordered, _replaced("plain", "spans", names))
     masked = found.withColumn("masked", F.expr(f"CASE WHEN plain IS NULL OR size(base) + size(added) = 0 THEN plain ELSE {pieces} END"))
     kind = documents.schema["n_chars"].dataType if "n_chars" in documents.columns else None
     out = []
