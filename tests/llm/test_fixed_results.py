@@ -37,6 +37,29 @@ def test_neighbours_ignore_unusable_vectors(spark):
     assert neighbours.nearest(frame.where("vec_id > 99"), frame).count() == 0
 
 
+@pytest.mark.parametrize("dimension", [3, 64, 300])
+def test_estimates_from_packed_bits_keep_their_bounds(dimension):
+    chance = np.random.default_rng(7)
+    vectors = chance.normal(size=(4000, dimension)) * chance.uniform(0.1, 5, (4000, 1))
+    turn = neighbours.rotation(dimension, max(256, -(-dimension // 64) * 64))
+    codes = neighbours.Codes(*neighbours.encode(vectors, turn))
+    for query in vectors[:20]:
+        guess, width = codes.estimate(query @ turn)
+        other = np.arange(4000) >= 20
+        inside = np.abs(guess - vectors @ query) <= width
+        assert inside[other].mean() > 0.97
+        signs = np.where(vectors @ turn > 0, 1.0, -1.0)
+        assert np.abs(guess - (signs @ (query @ turn)) * codes.scale).max() <= 6 * codes.scale.max() * np.sqrt(query @ query)
+
+
+def test_neighbours_over_many_blocks(spark, folder, monkeypatch):
+    vectors = table(spark, folder, "embeddings", "vec_id", "embedding")
+    whole = neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0")).collect()
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(neighbours, "VECTOR_BLOCK", 60)
+    assert sorted(neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0")).collect()) == sorted(whole)
+
+
 def test_neighbours_reach_all_true_ones(spark, folder):
     vectors = table(spark, folder, "embeddings", "vec_id", "embedding")
     data = {r.vec_id: np.array(r.embedding, float) for r in vectors.collect()}
