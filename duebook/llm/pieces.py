@@ -11,6 +11,7 @@ The model is read once on the driver and travels with the tasks; the path is a p
 
 The round trip and parity with the sentencepiece library are checked on whatever is encoded: on runs of new words, or on
 each word of a run that fails, which by the same property holds for the whole text, or on the whole text. ``whole_parity`` compares whole texts.
+Where the rebuilt pipeline gives other ids than the library, ``parity`` is false and the library's ids are returned.
 
 Defined cases: null and empty texts have no ids and decode to the empty text; control pieces in a text are ordinary
 characters; repeated rows are encoded alike; other columns are ignored; an empty table gives an empty result.
@@ -30,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 MARK = "▁"
+#: Two noncharacters around the number of a piece that texts cannot reach.
+HIDDEN = "\U0010ffff\U0010fffe"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 THREADS = 2
@@ -111,7 +114,9 @@ def build(message: bytes):
         vocabulary = {piece: i for i, (piece, _, _) in enumerate(pieces)}
         core = models.BPE(vocabulary, merges(model), unk_token=pieces[unknown][0], fuse_unk=True, byte_fallback=fallback, cache_capacity=0)
     elif model["kind"] == UNIGRAM:
-        core = models.Unigram([(piece, score) for piece, score, _ in pieces], unknown, fallback)
+        # control, unused and unknown pieces keep their ids, but no text may spell them
+        lattice = [(piece if kind in (NORMAL, USER, BYTE) else f"{HIDDEN}{i}{HIDDEN}", score) for i, (piece, score, kind) in enumerate(pieces)]
+        core = models.Unigram(lattice, unknown, fallback)
     else:
         raise ValueError("only unigram and BPE models can be rebuilt")
     steps = [normalizers.Precompiled(model["charsmap"])] if model["charsmap"] else []
@@ -145,11 +150,12 @@ class Encoder:
         self.back, self.same = np.zeros(0, bool), np.zeros(0, bool)
 
     def batch(self, texts: list[str]) -> tuple[list[list[int]], list[bool], list[bool]]:
-        """Ids, round trip and parity of each text."""
+        """Ids, round trip and parity of each text. Where the library gives other ids, those are returned."""
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
         theirs = self.library.encode(texts, num_threads=self.threads)
-        return ids, [t == b for t, b in zip(texts, back, strict=True)], [i == o for i, o in zip(ids, theirs, strict=True)]
+        same = [i == o for i, o in zip(ids, theirs, strict=True)]
+        back = self.tokenizer.decode_batch(theirs, skip_special_tokens=False)
+        return theirs, [t == b for t, b in zip(texts, back, strict=True)], same
 
     def words(self, text: str) -> list[str] | None:
         """The text's words, each with the spaces before it but one; None if it has to be encoded whole."""
