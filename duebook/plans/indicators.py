@@ -120,6 +120,19 @@ def collections_top10(book: Ledger) -> DataFrame:
     return best.select("customer_id", "probability", "predicted_value", "priority_score", "priority")
 
 
+@query(
+    "value_top10",
+    """
+SELECT customer_id, actual_value, predicted_value, abs_error, money_band
+FROM risk_values ORDER BY predicted_value DESC NULLS LAST, customer_id LIMIT 10
+""",
+    ("risk_values",),
+)
+def value_top10(book: Ledger) -> DataFrame:
+    """The ten customers of the largest predicted value."""
+    return values_of(book).orderBy(F.desc_nulls_last("predicted_value"), "customer_id").limit(10)
+
+
 @query(
     "priority_rollup",
     """
