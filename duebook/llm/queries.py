@@ -51,23 +51,25 @@ def op2_licence_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _licence_sql() -> str:
-    known = sorted(licences.SENTENCES, key=lambda s: -len(s[0]))
-    cases = " ".join(f"WHEN s = '{text}' OR starts_with(s, '{text} ') THEN '{name}'" for text, name in known)
     marks = "CASE WHEN len(sequence) > 0 THEN ' ' || replace(array_to_string(sequence, ' '), ' ', '  ') || ' ' ELSE '' END"
     for number, (_, parts) in enumerate(licences.RULES):
         marks = f"replace({marks}, ' {'  '.join(parts)} ', ' #{number} ')"
     names = "[" + ", ".join(f"'{name}'" for name, _ in licences.RULES) + "]"
     return f"""
 WITH cut AS (
-    SELECT doc_id, list_filter(list_transform(
-        string_split(regexp_replace(regexp_replace(coalesce(text, ''), '[.;:?!]+([ \t\r\n]|$)', chr(10) || '\\1', 'g'), '\n+', chr(10), 'g'), chr(10)),
-        lambda s: trim(s)), lambda s: s <> '') AS sentences
+    SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{licences.CUTS}'), lambda s: regexp_matches(s, '{licences.LETTER}')) AS sentences
     FROM documents
-), named AS (
-    SELECT doc_id, CAST(len(sentences) AS BIGINT) AS n_sentences, list_filter(list_transform(
-        list_transform(sentences, lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))),
-        lambda s: CASE {cases} ELSE '' END), lambda s: s <> '') AS sequence
+), lined AS (
+    SELECT doc_id, CAST(len(sentences) AS BIGINT) AS n_sentences, list_transform(sentences, lambda s: list_filter(list_transform(
+        string_split_regex(s, '{licences.STARTS}'),
+        lambda l: replace(trim(regexp_replace(lower(l), '[^a-z0-9]+', ' ', 'g')), 'licence', 'license')), lambda l: l <> '')) AS lines
     FROM cut
+), named AS (
+    SELECT doc_id, n_sentences, list_filter(list_transform(
+        flatten(list_transform(lines, lambda p: list_transform(p, lambda l, i: CASE WHEN regexp_matches(l, '{licences.FIRST}')
+            THEN regexp_replace(array_to_string(p[i:i + {licences.LINES - 1}], ' '), '{licences.COUNTER}', '') ELSE '' END))),
+        lambda w: {licences.identifier('w', 'starts_with')}), lambda s: s <> '') AS sequence
+    FROM lined
 ), ruled AS (
     SELECT *, list_filter(string_split({marks}, ' '), lambda m: m <> '') AS marks FROM named
 )

@@ -99,6 +99,79 @@ def test_licence_scan_passes_over_no_known_sentence(spark):
     assert found[known].licences == ["Apache-2.0"] and found[known].unmatched == [] and found[known + 1].sequence == ["Apache2AsIs", "BsdName"]
 
 
+MIT_NOTICE = """Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED."""
+BSD_NOTICE = """Copyright 2020 A. Person
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse products.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS
+IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+GPL_NOTICE = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY.  See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public
+License along with this program."""
+APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+ISC_NOTICE = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES."""
+NOTICES = [(MIT_NOTICE, ["MIT"]), (BSD_NOTICE, ["BSD-3-Clause"]), (GPL_NOTICE.format(":"), ["GPL-any"]), (GPL_NOTICE.format(";"), ["GPL-any"]), (APACHE_NOTICE, ["Apache-2.0"]), (ISC_NOTICE, ["ISC"])]
+
+
+def test_licence_scan_reads_wrapped_notices_with_comment_signs(spark):
+    def commented(notice, first, sign, last):
+        return first + "\n".join(f"{sign} {line}".rstrip() for line in notice.split("\n")) + last
+
+    signs = [("", "", ""), ("", "#", "\nimport os"), ("", "//", "\n"), ("/*\n", " *", "\n */\nint main() {}"), ("", ";;", ""), ("", "--", "")]
+    cases = [(commented(notice, *sign), names) for notice, names in NOTICES for sign in signs]
+    cases += [(notice.replace("\n", "\r\n"), names) for notice, names in NOTICES]
+    cases += [(" ".join(BSD_NOTICE.split()), ["BSD-3-Clause"]), ("/* SPDX-License-Identifier: MIT */\nint a;", ["MIT"]), ("Title of a page\nReleased under the\nMIT Licence\nand more", ["MIT"])]
+    cases += [(f"{MIT_NOTICE}\n\n{GPL_NOTICE.format(':')}", ["MIT", "GPL-any"]), ("word\n" * 200_000 + "licence", []), (MIT_NOTICE.replace("granted", "not granted"), [])]
+    frame = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: r for r in licences.scan(frame).collect()}
+    assert {i: r.licences for i, r in found.items()} == {i: names for i, (_, names) in enumerate(cases)}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(i, text) for i, (text, _) in enumerate(cases)])
+    for doc_id, n_sentences, *names in con.sql(ORACLES["op2_licence_rules"]).fetchall():
+        r = found[doc_id]
+        assert (r.n_sentences, *(",".join(x) for x in (r.sequence, r.licences, r.unmatched))) == (n_sentences, *names)
+
+
 def brute_prints(texts):
     out = {}
     for key, text in texts.items():
