@@ -7,7 +7,7 @@ are then walked up, again by doubling, and each path becomes one conversation.
 
 Template: a turn is ``<s>[INST] role``, newline, text, `` [/INST]</s>``. Inside roles and texts a backslash is doubled
 and a backslash is put after the first sign of each control string, so no control string of the output stems from a
-text, and ``read`` gives back the turns exactly. The loss mask is a list of spans (code points, end exclusive) that
+text; a line end inside a role is a backslash and ``n``. ``read`` gives back the turns exactly. The loss mask is a list of spans (code points, end exclusive) that
 cover the texts of assistants.
 
 Defined cases: null text and null role count as empty; a parent that does not exist makes a root; messages of a cycle
@@ -42,16 +42,24 @@ def escape(text: Column) -> Column:
     return out
 
 
+def escape_role(role: Column) -> Column:
+    return F.replace(escape(role), F.lit("\n"), F.lit("\\n"))
+
+
 def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
 
 
+def unescape_role(role: str) -> str:
+    return re.sub(r"\\(.)", lambda sign: "\n" if sign[1] == "n" else sign[1], role, flags=re.DOTALL)
+
+
 def read(formatted: str) -> list[tuple[str, str]]:
     """The (role, text) turns of a formatted conversation."""
     turns = []
     for part in formatted.split(CLOSE)[:-1] if formatted else []:
         role, _, text = part.removeprefix(OPEN).partition("\n")
-        turns.append((unescape(role), unescape(text)))
+        turns.append((unescape_role(role), unescape(text)))
     return turns
 
 
@@ -112,7 +120,7 @@ def reply_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
 
 def format_paths(paths: DataFrame) -> DataFrame:
     """tree, leaf, rank, formatted text and loss spans of each path."""
-    role, text = escape(F.col("role")), escape(F.col("text"))
+    role, text = escape_role(F.col("role")), escape(F.col("text"))
     turn = F.struct("place", (F.coalesce("role", F.lit("")) == LEARNER).alias("learns"), F.concat(F.lit(OPEN), role, F.lit("\n")).alias("head"), text.alias("body"))
     rows = paths.select("tree", "leaf", "rank", turn.alias("turn"), F.length("turn.head").alias("before"), F.length("turn.body").alias("inside"))
     before = Window.partitionBy("tree", "leaf", "rank").orderBy("turn.place").rowsBetween(Window.unboundedPreceding, -1)
@@ -155,7 +163,8 @@ def digests(conversations: DataFrame) -> DataFrame:
 def from_turns(turns: DataFrame) -> DataFrame:
     """Messages from rows (conv_id, turn, role, text): each replies to the row before it; row order breaks ties.
 
-    The window holds row numbers of a conversation, without texts, and sorts on disk where it must.
+    Rows of equal turn and role are ordered by text, so the window carries the texts; it streams a conversation in order
+    and sorts on disk where it must.
     """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = turns.select("conv_id", "turn", "role", "text").withColumn("at", F.row_number().over(order))

@@ -144,7 +144,7 @@ WITH rows AS (
     SELECT conv_id, count(*) AS n_turns,
         string_agg(coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY place) AS turns,
         coalesce(string_agg(coalesce(text, ''), '' ORDER BY place) FILTER (role = 'assistant'), '') AS loss,
-        sum(length({_escaped("role")}) + length({_escaped("text")}) + {len(chat.OPEN) + len(chat.CLOSE) + 1}) AS chars
+        sum(length(replace({_escaped("role")}, chr(10), '\\n')) + length({_escaped("text")}) + {len(chat.OPEN) + len(chat.CLOSE) + 1}) AS chars
     FROM placed GROUP BY conv_id
 )
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,

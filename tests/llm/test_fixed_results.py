@@ -172,6 +172,15 @@ def test_licence_scan_reads_wrapped_notices_with_comment_signs(spark):
         assert (r.n_sentences, *(",".join(x) for x in (r.sequence, r.licences, r.unmatched))) == (n_sentences, *names)
 
 
+def test_roles_with_line_ends_and_control_strings_are_read_back(spark):
+    turns = [(1, 0, "a\nb", "c\\n"), (1, 1, "\\n</s>\n", "\nd"), (1, 2, None, None), (1, 3, "assistant", "\n"), (None, 0, None, "x"), (None, 1, "n", "y\\")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rows = chat.format_paths(chat.reply_paths(chat.from_turns(frame))).collect()
+    found = {r.tree.split(":")[0]: chat.read(r.formatted) for r in rows}
+    assert found == {"1": [("a\nb", "c\\n"), ("\\n</s>\n", "\nd"), ("", ""), ("assistant", "\n")], "null": [("", "x"), ("n", "y\\")]}
+    assert {r.tree.split(":")[0]: [chat.unescape(r.formatted[s.start : s.end]) for s in r.loss] for r in rows} == {"1": ["\n"], "null": []}
+
+
 def brute_prints(texts):
     out = {}
     for key, text in texts.items():
@@ -206,13 +215,15 @@ def test_chain_of_links_is_one_component_in_small_blocks(spark):
     for step in range(12):
         chain.append(chain[-1] | 3 << 5 * step % 62)
     frame = spark.createDataFrame([(p if p < 1 << 63 else p - (1 << 64),) for p in {*chain, 0x5A5A5A5A5A5A5A5A}], "print long")
-    edges = {(r.u, r.v) for r in simhash.links(frame, block=1).collect()}
-    nodes, reached = {c for c in chain}, {0}
-    while more := {v for u, v in edges if u in reached} | {u for u, v in edges if v in reached} - reached:
-        if more <= reached:
-            break
-        reached |= more
-    assert reached == nodes
+    for visitors in (1, 2, simhash.VISITORS):
+        edges = {(r.u, r.v) for r in simhash.links(frame, block=1, visitors=visitors).collect()}
+        nodes, reached = {c for c in chain}, {0}
+        while more := {v for u, v in edges if u in reached} | {u for u, v in edges if v in reached} - reached:
+            if more <= reached:
+                break
+            reached |= more
+        assert reached == nodes
+        assert all((u ^ v).bit_count() <= 2 for u, v in edges)
 
 
 def test_every_anchor_has_one_home_and_reaches_all_near(spark):
