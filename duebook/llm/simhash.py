@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, stage_table, texts
@@ -35,7 +35,8 @@ BITS, CHECK_BITS, RADIUS = 23, 11, 3
 #: Generator polynomial of the Golay code, as bits.
 GENERATOR = 0b101011100011
 #: Home fingerprints of one block of an anchor, and of one step of a comparison.
-BLOCK = 4_096
+#: Home fingerprints and all fingerprints in one comparison at an anchor.
+BLOCK, VISITORS = 4_096, 65_536
 STEP = 512
 SHINGLE_STEP = 2_000_000
 Steps = list[tuple[np.ndarray, np.ndarray]]
@@ -133,7 +134,7 @@ def _replicas(batches: Iterator[pa.RecordBatch], steps: Steps) -> Iterator[pa.Re
 
 
 def forest(homes: np.ndarray, others: np.ndarray, threshold: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between ``homes`` and ``others`` (which include the homes)."""
+    """A spanning forest of the links between ``homes`` and ``others``."""
     nodes = np.unique(np.concatenate([homes, others]))
     root = np.arange(len(nodes))
     left, right = np.searchsorted(nodes, homes), np.searchsorted(nodes, others)
@@ -166,23 +167,34 @@ def forest(homes: np.ndarray, others: np.ndarray, threshold: int) -> list[tuple[
 def _links(key: tuple, group: pa.Table, threshold: int) -> pa.Table:
     prints = group.column("print").to_numpy()
     home = group.column("home").to_numpy()
-    edges = forest(np.unique(prints[home]), np.unique(prints), threshold)
+    edges = forest(np.unique(prints[home]), np.unique(prints[~home]), threshold)
     u, v = zip(*edges, strict=True) if edges else ((), ())
     return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
-def links(prints: DataFrame, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """Edges (u, v) between distinct fingerprints that connect exactly what links connect."""
+def links(prints: DataFrame, threshold: int = THRESHOLD, block: int = BLOCK, visitors: int = VISITORS) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints that connect exactly what links connect.
+
+    At a hot anchor the home fingerprints are dealt into blocks, and so are all fingerprints at it; each pair of blocks is
+    one group, of about ``block`` and ``visitors`` rows.
+    """
     distinct = prints.select("print").where("print IS NOT NULL").distinct()
     steps = anchor_steps(threshold)
     copies = stage_table(distinct.mapInArrow(lambda b: _replicas(b, steps), "anchor long, print long, home boolean"), "anchors")
     size = copies.groupBy("anchor").agg(F.count_if("home").alias("homes"), F.count("*").alias("all"))
-    size = size.where("homes > 0 AND all > 1").select("anchor", F.ceil(F.col("homes") / block).cast("int").alias("blocks"))
+    blocks, shifts = F.ceil(F.col("homes") / block).cast("int"), F.ceil(F.col("all") / visitors).cast("int")
+    size = size.where("homes > 0 AND all > 1").select("anchor", blocks.alias("blocks"), shifts.alias("shifts"))
     placed = copies.join(size, "anchor")
-    own = F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int")
-    homes = placed.where("home").select("anchor", own.alias("block"), "print", "home")
-    visits = placed.select("anchor", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "print", F.lit(False).alias("home"))
-    grouped = homes.union(visits).groupBy("anchor", "block")
+
+    def one(count: str) -> Column:
+        return F.pmod(F.xxhash64("print"), F.col(count)).cast("int")
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    homes = placed.where("home").select("anchor", one("blocks").alias("block"), each("shifts").alias("shift"), "print", "home")
+    visits = placed.select("anchor", each("blocks").alias("block"), one("shifts").alias("shift"), "print", F.lit(False).alias("home"))
+    grouped = homes.union(visits).groupBy("anchor", "block", "shift")
     return grouped.applyInArrow(lambda k, g: _links(k, g, threshold), "u long, v long")
 
 
