@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duebook.functions.text import missing_count, page_text, word_windows, words
-from duebook.operators.lookup import salted_lookup
 from duebook.operators.ordering import TIE_SLOTS, add_slots, cut_points, running_totals
-from duebook.session import stage
+from duebook.session import stage_files
 
 # Chunk sizes, validation tolerances in percent, required fields, statement rates.
 CHUNK_WORDS, CHUNK_OVERLAP = 256, 25
@@ -18,6 +17,8 @@ ISSUER = "Receivables Ledger"
 SEVERITY = {"APPROVED": "OK", "APPROVED_WITH_REMARK": "LOW", "REJECTED": "HIGH"}
 NET_SHARE = 0.8
 APPROVAL_SCORE = 600
+#: A term with more than one in so many rows of term counts is common; no more terms than this can be.
+COMMON_SHARE = 100_000
 
 
 def metadata(documents: DataFrame) -> DataFrame:
@@ -203,17 +204,21 @@ def statement_totals(moves: DataFrame, scores: DataFrame) -> DataFrame:
 def top_terms(documents: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` heaviest terms per document by term count times ln(documents / documents with the term).
 
-    The texts are split once: both sides of the join read the staged counts. A common term is in most documents, so the
-    join is salted by document.
+    Texts are split once, and the counts of a document are written side by side. Terms of more than one row in
+    ``COMMON_SHARE`` are that many at most, so their document counts are broadcast; only rows of the others are shuffled
+    by term, and none of these terms has many.
     """
     terms = F.explode(words(F.lower("text"))).alias("term")
-    tf = stage(documents.select("doc_id", terms).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counted = documents.repartition("doc_id").select("doc_id", terms).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = stage_files(counted, "terms")
+    df = stage_files(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term-counts")
     n = documents.agg(F.count(F.lit(1)).cast("double")).scalar()
-    weighted = salted_lookup(tf, df, "term", F.col("doc_id"))
+    common = F.col("df") * COMMON_SHARE > df.agg(F.sum("df")).scalar()
+    known = tf.join(F.broadcast(df.where(common)), "term", "left")
+    rare = known.where("df IS NULL").drop("df").join(df.where(~common), "term")
     weight = F.round(F.col("tf") * F.log(n / F.col("df")), 6)
-    # a window over one document's distinct terms
+    # a window over one document's distinct terms; its k first common ones leave before any shuffle
     order = Window.partitionBy("doc_id").orderBy(F.desc("weight"), "term")
-    ranked = weighted.withColumn("weight", weight).withColumn("place", F.row_number().over(order))
+    weighted = known.where("df IS NOT NULL").unionByName(rare).withColumn("weight", weight)
+    ranked = weighted.withColumn("place", F.row_number().over(order))
     return ranked.filter(F.col("place") <= k).select("doc_id", "place", "term", "tf", "weight")
-
