@@ -41,26 +41,36 @@ def distances(corpus: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarra
     return np.round(d, 6) + 0.0
 
 
+def as_places(groups: np.ndarray) -> np.ndarray:
+    """One row of places per entry: a list has several, another value one."""
+    return np.stack(groups) if len(groups) and isinstance(groups[0], list | np.ndarray) else groups[:, None]
+
+
 class BestHits:
     """The k best hits per query, by distance then id, over the batches of one task.
 
-    The corpus is compared in tiles of fixed bytes; of a tile only rows as near as a query's k-th best are kept.
+    The corpus is compared in tiles of fixed bytes; of a tile only rows as near as a query's k-th best are kept. Rows and
+    queries are compared where their ``match`` is equal or, if it is a list, one of its places; hits lie ``within`` a distance.
     """
 
-    def __init__(self, queries: pd.DataFrame, k: int, metric: str):
+    def __init__(self, queries: pd.DataFrame, k: int, metric: str, within: float = np.inf):
         self.names = queries["query_id"].to_numpy()
         self.matrix = np.stack(queries["vector"].to_numpy()).astype("float64")
-        self.groups = queries["match"].to_numpy()
-        self.k, self.metric = k, metric
+        self.groups = as_places(queries["match"].to_numpy())
+        self.k, self.metric, self.within = k, metric, within
         self.query, self.ids, self.found = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
         self.limit = np.full(len(self.names), np.finfo("float64").max)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray, groups: np.ndarray) -> None:
+        groups = as_places(groups)
         tile = max(1, TILE_BYTES // (8 * len(self.names)))
         for start in range(0, len(ids), tile):
             part = slice(start, start + tile)
             d = distances(vectors[part].astype("float64"), self.matrix, self.metric)
-            self._add(ids[part], np.where(groups[part, None] == self.groups[None, :], d, np.inf))
+            same = np.zeros(d.shape, bool)
+            for place in range(groups.shape[1]):
+                same |= groups[part, place, None] == self.groups[None, :, place]
+            self._add(ids[part], np.where(same & (d < self.within), d, np.inf))
 
     def _add(self, ids: np.ndarray, d: np.ndarray) -> None:
         limit = self.limit
@@ -82,13 +92,13 @@ class BestHits:
         return pd.DataFrame({"query_id": pd.Series(self.names[self.query], dtype=object), "vec_id": self.ids, "distance": self.found})
 
 
-def _broadcast_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
+def _broadcast_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str, within: float = np.inf) -> DataFrame:
     # every row: the caller has counted at most MAX_BROADCAST_QUERIES of them
     table = pd.DataFrame([r.asDict() for r in queries.take(MAX_BROADCAST_QUERIES)])
     shared = corpus.sparkSession.sparkContext.broadcast(table)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = BestHits(shared.value, k, metric)
+        best = BestHits(shared.value, k, metric, within)
         for batch in batches:
             n = batch.num_rows
             if n:
@@ -102,7 +112,7 @@ def _broadcast_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str)
     return corpus.mapInArrow(scan, HITS)
 
 
-def _grid_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str, block: tuple[int, int]) -> DataFrame:
+def _grid_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str, block: tuple[int, int], within: float = np.inf) -> DataFrame:
     """Every query block meets every corpus block once; blocks are even because they are cut by key digest."""
     q_blocks = max(1, -(-queries.count() // block[0]))
     c_blocks = max(1, -(-corpus.count() // block[1]))
@@ -119,7 +129,7 @@ def _grid_scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str, block
     def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"query_id": pd.Series([], dtype=object), "vec_id": np.zeros(0, "int64"), "distance": np.zeros(0)})
-        best = BestHits(q, k, metric)
+        best = BestHits(q, k, metric, within)
         best.add(c["vec_id"].to_numpy(), np.stack(c["vector"].to_numpy()), c["match"].to_numpy())
         return best.rows()
 
@@ -144,6 +154,19 @@ def nearest(
     """
     key = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in match])) if match else F.lit("")
     queries, corpus = (df.withColumn("match", key) for df in (queries, corpus))
+    return _best(queries, corpus, k, metric, max_broadcast, block)
+
+
+def _best(
+    queries: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    metric: str,
+    max_broadcast: int = MAX_BROADCAST_QUERIES,
+    block: tuple[int, int] = (GRID_QUERIES, GRID_CORPUS),
+    within: float = np.inf,
+) -> DataFrame:
+    """``nearest`` for rows with their ``match``; hits lie below the distance ``within``."""
     queries = stage(queries.select("query_id", "vector", "match"))
     corpus = corpus.select("vec_id", "vector", "match").filter(F.col("vector").isNotNull())
     max_broadcast = min(max_broadcast, MAX_BROADCAST_QUERIES)
@@ -151,9 +174,9 @@ def nearest(
     if asked == 0:
         hits = corpus.sparkSession.createDataFrame([], HITS)
     elif asked <= max_broadcast:
-        hits = _broadcast_scan(queries, corpus, k, metric)
+        hits = _broadcast_scan(queries, corpus, k, metric, within)
     else:
-        hits = _grid_scan(queries, corpus, k, metric, block)
+        hits = _grid_scan(queries, corpus, k, metric, block, within)
     # at most k rows per query and task reach this window
     order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
     return hits.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).select(
@@ -243,18 +266,25 @@ def cell_recall(queries: DataFrame, corpus: DataFrame, exact: DataFrame, k: int,
 
 
 def lsh_recall(vectors: DataFrame, queries: DataFrame, exact: DataFrame, k: int, threshold: float) -> DataFrame:
-    """Share of the exact neighbours that random-projection hashing finds, per query."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+    """Share of the exact neighbours that random-projection hashing finds, per query.
 
-    dense = vectors.select("vec_id", array_to_vector(F.col("vector").cast("array<double>")).alias("v"))
-    asked = queries.select("query_id", array_to_vector("vector").alias("v"))
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=1.0, numHashTables=6, seed=42).fit(dense)
-    near = model.approxSimilarityJoin(dense, asked, threshold, distCol="d").select(
-        F.col("datasetB.query_id").alias("query_id"), F.col("datasetA.vec_id").alias("vec_id"), "d"
-    )
-    order = Window.partitionBy("query_id").orderBy("d", "vec_id")
-    best = near.withColumn("p", F.row_number().over(order)).filter(F.col("p") <= k).select("query_id", "vec_id")
+    A row is compared with the queries that share one of its hashes, where it lies: each task keeps its k best per query,
+    so candidate pairs are never shuffled; rows are, once, as equal ones count once.
+    """
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    def dense(frame: DataFrame, key: str) -> DataFrame:
+        return frame.select(key, "vector", array_to_vector(F.col("vector").cast("array<double>")).alias("v"))
+
+    rows = vectors.select("vec_id", "vector").where("vector IS NOT NULL")
+    asked = queries.select("query_id", "vector").distinct()
+    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=1.0, numHashTables=6, seed=42).fit(dense(rows, "vec_id"))
+    # one number per hash table
+    hashes = F.array(*[vector_to_array(F.col("h")[i])[0] for i in range(6)]).alias("match")
+    rows = model.transform(dense(rows.distinct(), "vec_id")).select("vec_id", "vector", hashes)
+    asked = model.transform(dense(asked, "query_id")).select("query_id", "vector", hashes)
+    best = _best(asked, rows, k, "l2", within=threshold**2).select("query_id", "vec_id")
     matched = exact.join(best.withColumn("found", F.lit(1)), ["query_id", "vec_id"], "left")
     return matched.groupBy("query_id").agg(
         F.count(F.lit(1)).alias("n_exact"),

@@ -49,4 +49,6 @@ def test_hashing_search_equals_sparks_join_and_shuffles_no_candidates(spark):
         want[r.query_id] = want.get(r.query_id, 0) + ((r.query_id, r.vec_id) in near)
     found = vectors.lsh_recall(corpus, asked, exact, 5, 0.9)
     assert {r.query_id: r.n_found for r in found.collect()} == want and any(0 < n for n in want.values())
+    twice = vectors.lsh_recall(corpus.union(corpus), asked.union(asked), exact, 5, 0.9)
+    assert {r.query_id: r.n_found for r in twice.collect()} == want
     assert "Generate explode" not in found._jdf.queryExecution().executedPlan().toString()
