@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stage_table, texts
+from .common import key_filter, slices, stage_table, texts
 from .components import components
 
 PERCENT = 85
@@ -176,8 +176,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, percent: int, size: int) -> Dat
 
 def whole_sets(documents: DataFrame, nodes: DataFrame, size: int, words: int) -> DataFrame:
     """(node, n, sketch, whole) of ``nodes`` (node, doc_id), from the texts of one row each."""
-    ids = nodes.select("doc_id").distinct()
-    rows = documents.select("doc_id", "text").join(ids, documents["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    # Rows that pass by chance go with their sets, below.
+    rows = documents.select("doc_id", "text").where(key_filter(nodes.select("doc_id"))(F.col("doc_id")))
     sets = sketches(rows, (1 << 31) - 1, words).join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
     return sets.select("node", "n", F.slice("sketch", 1, size).alias("sketch"), F.col("sketch").alias("whole"))
 

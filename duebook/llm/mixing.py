@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_rows, labelled_sample, slices, stage_table, texts
+from .common import few_cells, few_rows, labelled_sample, slices, stage_table, texts
 
 BUCKETS = 32_768
 LABELLED_LIMIT = 20_000
@@ -90,7 +90,7 @@ def fit_classifier(documents: DataFrame, labels: DataFrame, domain: str = "lang"
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(used), pa.string()), pa.array(used), pa.array(table[used])], ["domain", "bucket", "n"])
 
     counted = rows.mapInArrow(count, "domain string, bucket long, n long").groupBy("domain", "bucket").agg(F.sum("n").alias("n"))
-    found = few_rows(counted, MAX_DOMAINS * BUCKETS)
+    found = few_cells(counted, ["domain"], "bucket", "n", MAX_DOMAINS * BUCKETS)
     domains = sorted({r.domain for r in found}) or [""]
     counts = np.ones((BUCKETS, len(domains)))
     place = {name: i for i, name in enumerate(domains)}
